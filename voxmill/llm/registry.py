@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import near_dup
+from . import decontam, near_dup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_benchmark_decontamination": decontam.query,
         "op8_minhash_near_dedup": near_dup.query,
     }
 
