@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from .runtime import as_documents, cut
 from .words import find_words, shingles, text_chunks
 
-SHINGLE = 3
-RADIUS = 9
+SHINGLE = 2
+RADIUS = 18
 THRESHOLD = 0.6
 PART_BYTES = 8 << 20
 _FILTER_BITS = 22
@@ -144,47 +144,54 @@ class Searcher:
         w, item = pair // len(self.index.words), pair % len(self.index.words)
         return w, item, np.bitwise_count(prints[w] ^ self.index.fingerprint[item]).astype(np.int64)
 
-    def document(self, value: np.ndarray, code: np.ndarray, n_words: int) -> list[tuple[int, int, int, float]]:
-        """(item, first word, distance, similarity): for each item the most similar window, of equals the first.
+    def promising(self, have: np.ndarray, room: np.ndarray) -> dict[int, np.ndarray]:
+        """By size number, the first shingles of the windows that hold enough weight of benchmark shingles.
 
-        Only windows that hold enough weight of benchmark shingles to reach the
-        threshold get a fingerprint: others cannot pass the exact comparison.
+        Others cannot reach the threshold: the shared weight of a window and an
+        item is at most what the window has of known shingles. ``have`` is the
+        running weight, ``room`` the number of shingles to the end of a document.
         """
-        index, q = self.index, self.q
-        known = code >= 0
-        have = np.concatenate([[0.0], np.cumsum(np.where(known, index.weight[code], 0.0))])
-        best: dict[int, tuple[float, int, int]] = {}
-        summed = None
+        out: dict[int, np.ndarray] = {}
         for k, size in enumerate(self.sizes):
-            if size > n_words:
-                break
-            span = max(1, int(size) - q + 1)
-            if len(value) < span:
+            span = max(1, int(size) - self.q + 1)
+            if len(room) < span:
                 break
-            enough = np.flatnonzero(have[span:] - have[:-span] >= self.threshold * self.least[k] - 1e-6)
-            if size < q and n_words > size:
-                enough = enough[:0]  # a window that short has no shingle of q words
-            if not len(enough):
-                continue
-            if summed is None:
-                weight = np.where(known, index.weight[code], index.unknown)
-                summed = np.zeros((len(value) + 1, 64))
-                np.cumsum(signs(value) * weight[:, None], axis=0, out=summed[1:])
-                codes = np.where(known, code, len(index.known) + np.unique(value, return_inverse=True)[1])
-            for at in range(0, len(enough), _WINDOW_CELLS // 64):
-                starts = enough[at : at + _WINDOW_CELLS // 64]
-                prints = pack(summed[starts + span] - summed[starts])
+            at = np.flatnonzero(have[span:] - have[:-span] >= self.threshold * self.least[k] - 1e-6)
+            at = at[room[at] >= span]
+            if len(at):
+                out[k] = at
+        return out
+
+    def document(self, value: np.ndarray, code: np.ndarray, n_words: int, windows: list[tuple[int, np.ndarray]]) -> list[tuple[int, int, int, float]]:
+        """(item, first word, distance, similarity): for each item the most similar of the given windows, of equals the first."""
+        index, q = self.index, self.q
+        best: dict[int, tuple[float, int, int]] = {}
+        windows = [(k, x) for k, x in windows if self.sizes[k] >= q or n_words == self.sizes[k]]
+        if not windows:
+            return []
+        low = min(int(x[0]) for _, x in windows)
+        high = max(int(x[-1]) + max(1, int(self.sizes[k]) - q + 1) for k, x in windows)
+        value, code = value[low:high], code[low:high]
+        weight = np.where(code >= 0, index.weight[code], index.unknown)
+        summed = np.zeros((len(value) + 1, 64))
+        np.cumsum(signs(value) * weight[:, None], axis=0, out=summed[1:])
+        codes = np.where(code >= 0, code, len(index.known) + np.unique(value, return_inverse=True)[1])
+        for k, starts in windows:
+            span = max(1, int(self.sizes[k]) - q + 1)
+            starts = starts - low
+            for at in range(0, len(starts), _WINDOW_CELLS // 64):
+                some = starts[at : at + _WINDOW_CELLS // 64]
+                prints = pack(summed[some + span] - summed[some])
                 for w, item, distance in zip(*(x.tolist() for x in self.candidates(k, prints))):
-                    s = int(starts[w])
+                    s = int(some[w])
                     c = index.code[index.first[item] : index.first[item + 1]]
                     like = weighted_jaccard(codes[s : s + span], weight[s : s + span], c, index.weight[c])
                     if like >= self.threshold - 1e-9 and (item not in best or like > best[item][0]):
-                        best[item] = (like, s, distance)
+                        best[item] = (like, s + low, distance)
         return [(item, s, distance, like) for item, (like, s, distance) in best.items()]
 
     def rows(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = self.index
-        floor = self.threshold * self.least.min() - 1e-6
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             out: list[tuple] = []
@@ -192,15 +199,21 @@ class Searcher:
                 words = find_words(data, offsets)
                 value, _, first = shingles(words, self.q)
                 code = lookup(index, value)
-                hit = np.flatnonzero(code >= 0)
-                if not len(hit):
+                if not (code >= 0).any():
                     continue
                 counts = np.diff(words.first)
-                doc = np.searchsorted(first, hit, "right") - 1
-                weigh = np.bincount(doc, index.weight[code[hit]], len(counts))
-                for d in np.flatnonzero(weigh >= floor):
+                have = np.concatenate([[0.0], np.cumsum(np.where(code >= 0, index.weight[code], 0.0))])
+                doc = np.repeat(np.arange(len(counts)), np.diff(first))
+                room = first[1:][doc] - np.arange(len(value))
+                by_doc: dict[int, list[tuple[int, np.ndarray]]] = {}
+                for k, at in self.promising(have, room).items():
+                    d = doc[at]
+                    cuts = np.flatnonzero(np.diff(d)) + 1
+                    for part in np.split(at, cuts):
+                        by_doc.setdefault(int(doc[part[0]]), []).append((k, part - first[doc[part[0]]]))
+                for d, windows in by_doc.items():
                     x, y = first[d], first[d + 1]
-                    for item, s, distance, like in self.document(value[x:y], code[x:y], int(counts[d])):
+                    for item, s, distance, like in self.document(value[x:y], code[x:y], int(counts[d]), windows):
                         out.append((int(ids[a + d]), int(index.item_id[item]), s, int(index.words[item]), distance, round(like, 6)))
             if out:
                 cols = list(zip(*out))

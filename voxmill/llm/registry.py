@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, near_dup
+from . import decontam, near_dup, quality
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_benchmark_decontamination": decontam.query,
+        "op5_quality_classifier": quality.query,
         "op8_minhash_near_dedup": near_dup.query,
     }
 
