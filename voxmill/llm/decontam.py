@@ -15,7 +15,7 @@ from .words import find_words, shingles, text_chunks
 
 SHINGLE = 2
 RADIUS = 18
-THRESHOLD = 0.6
+THRESHOLD = 0.5
 PART_BYTES = 8 << 20
 _FILTER_BITS = 22
 _WINDOW_CELLS = 1 << 20
@@ -113,34 +113,31 @@ class Searcher:
         self.sizes, self.of_size = np.unique(index.words, return_index=True)
         self.of_size = np.append(self.of_size, len(index.words))
         self.least = np.array([index.total[a:b].min() for a, b in zip(self.of_size, self.of_size[1:])])
+        size_of = np.repeat(np.arange(len(self.sizes)), np.diff(self.of_size))
         self.tables = []
-        for a, b in zip(self.of_size, self.of_size[1:]):
-            fingerprint = index.fingerprint[a:b]
-            rows = []
-            for at, width in self.blocks:
-                key = (fingerprint >> np.uint64(at)) & np.uint64((1 << width) - 1)
-                order = np.argsort(key, kind="stable")
-                rows.append((np.searchsorted(key[order], np.arange((1 << width) + 1, dtype=np.uint64)), order + a))
-            self.tables.append(rows)
-
-    def candidates(self, size: int, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(window, item, distance): all pairs of at most ``radius`` differing bits among the items of one size."""
-        found_w, found_i = [], []
-        for (at, width), (start, items) in zip(self.blocks, self.tables[size]):
-            key = ((prints >> np.uint64(at)) & np.uint64((1 << width) - 1)).astype(np.int64)
+        for at, width in self.blocks:
+            key = self.key(size_of, index.fingerprint, at, width)
+            order = np.argsort(key, kind="stable")
+            self.tables.append((np.searchsorted(key[order], np.arange((len(self.sizes) << width) + 1)), order))
+
+    @staticmethod
+    def key(size: np.ndarray, prints: np.ndarray, at: int, width: int) -> np.ndarray:
+        """The block of each fingerprint together with the number of its window's size."""
+        return (size.astype(np.int64) << width) | ((prints >> np.uint64(at)) & np.uint64((1 << width) - 1)).astype(np.int64)
+
+    def candidates(self, size: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(window, item, distance): all pairs of one size and at most ``radius`` differing bits."""
+        found = []
+        for (at, width), (start, items) in zip(self.blocks, self.tables):
+            key = self.key(size, prints, at, width)
             low, count = start[key], start[key + 1] - start[key]
             total = int(count.sum())
             if total:
                 w = np.repeat(np.arange(len(prints)), count)
-                k = np.arange(total) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)
-                item = items[k]
+                item = items[np.arange(total) - np.repeat(np.cumsum(count) - count - low, count)]
                 near = np.bitwise_count(prints[w] ^ self.index.fingerprint[item]) <= self.radius
-                found_w.append(w[near])
-                found_i.append(item[near])
-        if not found_w:
-            none = np.zeros(0, np.int64)
-            return none, none, none
-        pair = np.unique(np.concatenate(found_w) * len(self.index.words) + np.concatenate(found_i))
+                found.append(w[near] * len(self.index.words) + item[near])
+        pair = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
         w, item = pair // len(self.index.words), pair % len(self.index.words)
         return w, item, np.bitwise_count(prints[w] ^ self.index.fingerprint[item]).astype(np.int64)
 
@@ -176,18 +173,18 @@ class Searcher:
         summed = np.zeros((len(value) + 1, 64))
         np.cumsum(signs(value) * weight[:, None], axis=0, out=summed[1:])
         codes = np.where(code >= 0, code, len(index.known) + np.unique(value, return_inverse=True)[1])
-        for k, starts in windows:
-            span = max(1, int(self.sizes[k]) - q + 1)
-            starts = starts - low
-            for at in range(0, len(starts), _WINDOW_CELLS // 64):
-                some = starts[at : at + _WINDOW_CELLS // 64]
-                prints = pack(summed[some + span] - summed[some])
-                for w, item, distance in zip(*(x.tolist() for x in self.candidates(k, prints))):
-                    s = int(some[w])
-                    c = index.code[index.first[item] : index.first[item + 1]]
-                    like = weighted_jaccard(codes[s : s + span], weight[s : s + span], c, index.weight[c])
-                    if like >= self.threshold - 1e-9 and (item not in best or like > best[item][0]):
-                        best[item] = (like, s + low, distance)
+        starts = np.concatenate([x for _, x in windows]) - low
+        size = np.repeat([k for k, _ in windows], [len(x) for _, x in windows])
+        spans = np.maximum(1, self.sizes[size] - q + 1)
+        for at in range(0, len(starts), _WINDOW_CELLS // 64):
+            some, span = starts[at : at + _WINDOW_CELLS // 64], spans[at : at + _WINDOW_CELLS // 64]
+            prints = pack(summed[some + span] - summed[some])
+            for w, item, distance in zip(*(x.tolist() for x in self.candidates(size[at : at + _WINDOW_CELLS // 64], prints))):
+                s, e = int(some[w]), int(some[w] + span[w])
+                c = index.code[index.first[item] : index.first[item + 1]]
+                like = weighted_jaccard(codes[s:e], weight[s:e], c, index.weight[c])
+                if like >= self.threshold - 1e-9 and (item not in best or (-like, s + low) < (-best[item][0], best[item][1])):
+                    best[item] = (like, s + low, distance)
         return [(item, s, distance, like) for item, (like, s, distance) in best.items()]
 
     def rows(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
