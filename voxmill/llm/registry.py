@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, near_dup, quality
+from . import decontam, near_dup, quality, secrets
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_benchmark_decontamination": decontam.query,
         "op5_quality_classifier": quality.query,
+        "op6_secret_scan": secrets.query,
         "op8_minhash_near_dedup": near_dup.query,
     }
 
