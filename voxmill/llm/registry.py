@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, near_dup, quality, secrets
+from . import decontam, near_dup, quality, secrets, token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_quality_classifier": quality.query,
         "op6_secret_scan": secrets.query,
         "op8_minhash_near_dedup": near_dup.query,
+        "op9_token_counts": token_counts.query,
     }
 
 

@@ -168,8 +168,7 @@ def automaton(words: list[bytes], alpha: float = ALPHA, slack: float = SLACK) ->
         prob[k] /= max(prob[k].sum(), 1)
     with np.errstate(divide="ignore"):
         made = Automaton(step, np.log(prob), 0.0)
-    scores = [likelihoods([w], made)[0] for w in words]
-    return made._replace(least=float(min(scores)) - slack)
+    return made._replace(least=float(likelihoods(words, made).min()) - slack)
 
 
 _KIND = np.zeros(128, np.int8)
