@@ -93,6 +93,17 @@ def find_words(data: np.ndarray, offsets: np.ndarray) -> Words:
     return Words(value, start, end, np.repeat(np.arange(n_docs), np.diff(first)), first)
 
 
+def stems(data: np.ndarray, words: Words, n: int) -> np.ndarray:
+    """The hash of each word's first n bytes, other than that of a word of as many bytes."""
+    if not len(words.hash):
+        return np.zeros(0, np.uint64)
+    power, inverse = _powers_to(len(data) + 1)
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[data] * power[:-1], out=total[1:])
+    end = np.minimum(words.start + n, words.end)
+    return mix64((total[end] - total[words.start]) * inverse[words.start] ^ np.uint64(n))
+
+
 def shingles(words: Words, q: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash of each shingle of q words, position of its first word, first shingle of each document + end).
 
