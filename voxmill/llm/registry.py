@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, near_dup, quality, secrets, token_counts
+from . import decontam, near_dup, quality, sampling, secrets, token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_secret_scan": secrets.query,
         "op8_minhash_near_dedup": near_dup.query,
         "op9_token_counts": token_counts.query,
+        "op10_sentencepiece_sampling": sampling.query,
     }
 
 
