@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .runtime import as_documents, cut
+from .runtime import as_documents, cut, without_ids
 from .words import find_words, shingles, text_chunks
 
 SHINGLE = 2
@@ -285,7 +285,7 @@ def find_leaks(
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item; rows with a null id are kept."""
     found = cut(find_leaks(docs, benchmark, id_col, text_col, **options).select("doc_id").distinct())
-    return docs.join(found.select(F.col("doc_id").alias("__leak_id")), F.col(f"`{id_col}`") == F.col("__leak_id"), "left_anti")
+    return without_ids(docs, found, id_col)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

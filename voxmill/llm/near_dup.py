@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import components
-from .runtime import as_documents, cut
+from .runtime import as_documents, cut, unused, without_ids
 from .words import find_words, mix64, numbers, shingles, text_chunks
 
 SHINGLE = 3
@@ -230,9 +230,15 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     Rows with a null id are kept (equal texts once).
     """
-    gone = cut(near_duplicates(docs, id_col, text_col, **options)).select(F.col("doc_id").alias("__gone_id"))
-    left = docs.join(gone, F.col(f"`{id_col}`") == F.col("__gone_id"), "left_anti")
-    return left.dropDuplicates([id_col, text_col])
+    left = without_ids(docs, cut(near_duplicates(docs, id_col, text_col, **options)).select("doc_id"), id_col)
+    key = F.col(f"`{id_col}`")
+    again = cut(docs.groupBy(key.alias("id")).count().where("count > 1").select("id"))
+    if again.isEmpty():  # no row is repeated: no exchange of texts for it
+        return left
+    name = unused(docs, "again_id")
+    of_again = key.eqNullSafe(F.col(name))
+    repeated = left.join(again.toDF(name), of_again, "left_semi")
+    return left.join(again.toDF(name), of_again, "left_anti").unionAll(repeated.dropDuplicates([id_col, text_col]))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

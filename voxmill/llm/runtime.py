@@ -48,3 +48,17 @@ def as_documents(docs: DataFrame, id_col: str, text_col: str, lower: bool = True
         F.col(f"`{id_col}`").cast("bigint").alias("doc_id"),
         (F.lower(text) if lower else text).alias("text"),
     ).where(F.col("doc_id").isNotNull())
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or if the table has such a column, that name with underscores after it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def without_ids(docs: DataFrame, gone: DataFrame, id_col: str) -> DataFrame:
+    """The rows of ``docs`` whose id is not in the one column of ``gone``; rows with a null id stay."""
+    name = unused(docs, "gone_id")
+    return docs.join(gone.toDF(name), F.col(f"`{id_col}`") == F.col(name), "left_anti")
