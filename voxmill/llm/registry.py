@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, near_dup, quality, sampling, secrets, token_counts
+from . import decontam, near_dup, passages, quality, sampling, secrets, token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_substring_dedup": passages.query,
         "op4_benchmark_decontamination": decontam.query,
         "op5_quality_classifier": quality.query,
         "op6_secret_scan": secrets.query,
