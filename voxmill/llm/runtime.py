@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,3 +65,37 @@ def without_ids(docs: DataFrame, gone: DataFrame, id_col: str) -> DataFrame:
     """The rows of ``docs`` whose id is not in the one column of ``gone``; rows with a null id stay."""
     name = unused(docs, "gone_id")
     return docs.join(gone.toDF(name), F.col(f"`{id_col}`") == F.col(name), "left_anti")
+
+
+FILTER_BITS = 24
+
+
+def _bit(ids: np.ndarray) -> np.ndarray:
+    x = ids.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return ((x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def among(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows (doc_id, text) whose doc_id is in the one column of ``ids``.
+
+    A bit set of fixed size (2 MB), made of the ids and sent to the executors,
+    leaves out most other rows before the join; the more ids there are the less
+    it leaves out, and the join alone decides.
+    """
+
+    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.unique(_bit(batch.column(0).to_numpy(zero_copy_only=False)))
+            yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array((np.uint64(1) << (at & 63).astype(np.uint64)).view(np.int64))], names=["word", "bits"])
+
+    found = ids.mapInArrow(bits, "word bigint, bits bigint").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    words = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+    words[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    sent = rows.sparkSession.sparkContext.broadcast(words)
+
+    def maybe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = _bit(batch.column(0).to_numpy(zero_copy_only=False))
+            yield batch.filter(pa.array((sent.value[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)).astype(bool)))
+
+    return rows.mapInArrow(maybe, rows.schema).join(ids, "doc_id", "left_semi")
