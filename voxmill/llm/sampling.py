@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +19,7 @@ THETA = 0.5
 SEED = 20_240
 _ROWS = 512
 _CHARS = 1_000_000
-_REMEMBERED = 200_000
+_REMEMBERED = 300_000
 
 
 def uniform(key: np.ndarray, place: np.ndarray, salt: int) -> np.ndarray:
@@ -40,9 +41,9 @@ class Tables:
         self.clear()
 
     def clear(self) -> None:
-        none = np.zeros(0, np.int64)
+        none, small = np.zeros(0, np.int64), np.zeros(0, np.int32)
         self.number: dict[str, int] = {}
-        self.start, self.end, self.piece, self.base, self.size = none, none, none, none, none
+        self.start, self.end, self.piece, self.base, self.size = small, small, small, none, none
         self.logp, self.ladder = np.zeros(0), np.zeros(0)
         self.first = np.zeros(1, np.int64)
 
@@ -54,7 +55,10 @@ class Tables:
         for a, b in zip(e.level, e.level[1:]):
             end = e.end[a:b]
             first = np.flatnonzero(np.concatenate([[True], end[1:] != end[:-1]]))
-            alpha[end[first]] = np.logaddexp.reduceat(alpha[e.start[a:b]] + score[a:b], first)
+            term = alpha[e.start[a:b]] + score[a:b]
+            most = np.maximum.reduceat(term, first)
+            term -= np.repeat(most, np.diff(np.append(first, b - a)))
+            alpha[end[first]] = most + np.log(np.add.reduceat(np.exp(term), first))
         order = np.argsort(e.end, kind="stable")
         start, end = e.start[order], e.end[order]
         logp = np.minimum(alpha[start] + score[order] - alpha[end], 0.0)
@@ -64,7 +68,7 @@ class Tables:
         share = np.minimum((whole[1:] - before) / (whole[first[end + 1]] - before), 1.0)
         share[first[1:][np.diff(first) > 0] - 1] = 1.0
         for name, more in (
-            ("start", start + nodes), ("end", end + nodes), ("piece", e.piece[order]), ("logp", logp), ("ladder", end + nodes + share), ("base", e.base + nodes), ("size", e.size),
+            ("start", (start + nodes).astype(np.int32)), ("end", (end + nodes).astype(np.int32)), ("piece", e.piece[order].astype(np.int32)), ("logp", logp), ("ladder", end + nodes + share), ("base", e.base + nodes), ("size", e.size),
         ):
             setattr(self, name, np.concatenate([getattr(self, name), more]))
         self.first = np.concatenate([self.first, first[1:] + edges])
@@ -88,9 +92,13 @@ class Sampler:
 
     def __init__(self, model: bytes, samples: int, theta: float, seed: int):
         self.vocab: Vocabulary = parse(model)
-        self.lattices = Lattices(self.vocab)
+        self.lattices = Lattices(self.vocab, trie=True)
         self.tables = Tables(self.lattices, theta)
         self.pieces = np.array(self.vocab.piece, object)
+        self.simple = self.vocab.kind == 1
+        if len(self.vocab.byte_id):  # ASCII bytes are characters by themselves
+            self.pieces[self.vocab.byte_id[:128]] = [chr(k) for k in range(128)]
+            self.simple[self.vocab.byte_id[:128]] = True
         self.samples, self.seed = samples, seed
 
     def walk(self, path: np.ndarray, node: np.ndarray, at: np.ndarray, base: np.ndarray, key: np.ndarray, begin: np.ndarray, salt: int) -> None:
@@ -125,21 +133,24 @@ class Sampler:
         step, other = step[keep], other[keep]
         phi = gx[step] + t.logp[other]
         u = uniform(key[doc[step]], place[step] * 64 + (node[step] - t.start[other]), salt)
-        with np.errstate(over="ignore"):
-            g = phi - np.log(np.exp(phi - limit[step]) - np.log(u))
+        e = -np.log(u)
+        # Below the limit t, phi - log(exp(phi - t) + e) grows with phi - log(e), by which siblings are compared.
+        order = phi - np.log(e)
         who = doc[step]
         rows = []
         for _ in range(most):
             if not len(who):
                 break
             first = np.flatnonzero(np.concatenate([[True], who[1:] != who[:-1]]))
-            top = np.repeat(np.maximum.reduceat(g, first), np.diff(np.append(first, len(who))))
-            best = np.flatnonzero(g == top)
+            top = np.repeat(np.maximum.reduceat(order, first), np.diff(np.append(first, len(who))))
+            best = np.flatnonzero(order == top)
             best = best[np.concatenate([[True], who[best][1:] != who[best][:-1]])]
-            rows.append((who[best], at[step[best]], other[best], g[best], gx[step[best]]))
-            left = np.ones(len(who), bool)
-            left[best] = False
-            who, step, other, g = who[left], step[left], other[left], g[left]
+            g = phi[best] - np.logaddexp(phi[best] - limit[step[best]], np.log(e[best]))
+            rows.append((who[best], at[step[best]], other[best], g, gx[step[best]]))
+            order[best] = -np.inf
+            if len(rows) < most and not np.isfinite(order).all():
+                left = np.flatnonzero(order > -np.inf)
+                who, step, other, phi, e, order = who[left], step[left], other[left], phi[left], e[left], order[left]
         return rows
 
     def __call__(self, keys: np.ndarray, texts: list[str]) -> list[list[tuple[np.ndarray, float, float, float]]]:
@@ -148,13 +159,12 @@ class Sampler:
         parts = [self.lattices.chunks(x) for x in texts]
         if len(t.number) > _REMEMBERED:
             t.clear()
-        new = list(dict.fromkeys(c for c in set().union(*parts) if c not in t.number))
+        new = list(set().union(*parts).difference(t.number))
         if new:
-            t.add(sorted(new))
+            t.add(new)
         key = mix64(keys.astype(np.int64).view(np.uint64) + np.uint64(self.seed))
         root = -np.log(-np.log(uniform(key, np.zeros(n, np.int64), 1)))
-        look = t.number.__getitem__
-        chunk = np.fromiter((k for p in parts for k in map(look, p)), np.int64)
+        chunk = np.fromiter(map(t.number.__getitem__, itertools.chain.from_iterable(parts)), np.int64)
         of = np.repeat(np.arange(n), [len(p) for p in parts])
         size, base = t.size[chunk], t.base[chunk]
         run = np.cumsum(size)  # place where each chunk ends
@@ -244,9 +254,9 @@ class Sampler:
         return ids
 
     def decode(self, ids: np.ndarray) -> str:
-        """As ``unigram.decode``; runs of ordinary pieces are joined at once."""
+        """As ``unigram.decode``; runs of ordinary pieces and ASCII bytes are joined at once."""
         v = self.vocab
-        odd = v.kind[ids] != 1
+        odd = ~self.simple[ids]
         if odd.any():
             edge = np.flatnonzero(np.diff(np.concatenate([[False], odd, [False]]).astype(np.int8)))
             out, at = [], 0
@@ -272,8 +282,20 @@ def _inclusion(logp: float, threshold: float) -> float:
 _SCHEMA = "doc_id bigint, sample int, ids array<int>, log_prob double, perturbed double, log_inclusion double, decoded boolean"
 
 
+_kept: dict[tuple, Sampler] = {}
+
+
+def _sampler(model: bytes, samples: int, theta: float, seed: int) -> Sampler:
+    """One sampler for a worker's tasks, with what it remembers of chunks."""
+    key = (hash(model), samples, theta, seed)
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = Sampler(model, samples, theta, seed)
+    return _kept[key]
+
+
 def _sample_rows(batches: Iterator[pa.RecordBatch], model: bytes, samples: int, theta: float, seed: int) -> Iterator[pa.RecordBatch]:
-    sampler = Sampler(model, samples, theta, seed)
+    sampler = _sampler(model, samples, theta, seed)
     for batch in batches:
         keys = batch.column(0).fill_null(-1).to_numpy(zero_copy_only=False)
         texts = [x or "" for x in batch.column(1).to_pylist()]

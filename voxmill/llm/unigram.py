@@ -112,22 +112,81 @@ class Edges(NamedTuple):
     size: np.ndarray
 
 
-class Lattices:
-    """Builds lattices; made once in each worker."""
+class Trie:
+    """The vocabulary's prefix tree as sorted arrays, walked from all places of a text at once."""
 
     def __init__(self, vocab: Vocabulary):
+        number: dict[tuple[int, int], int] = {}
+        final = [-1]
+        for k in np.flatnonzero(vocab.kind == 1).tolist():
+            at = 0
+            for c in vocab.piece[k]:
+                step = (at, ord(c))
+                if step not in number:
+                    number[step] = len(final)
+                    final.append(-1)
+                at = number[step]
+            if at:
+                final[at] = k
+        self.final = np.array(final, np.int32)
+        key = np.array([p << 21 | c for p, c in number], np.int64)
+        child = np.array(list(number.values()), np.int32)
+        order = np.argsort(key)
+        self.key, self.child = key[order], child[order]
+        self.root = np.zeros(1 << 21, np.int32)
+        of_root = self.key < 1 << 21
+        self.root[self.key[of_root]] = self.child[of_root]
+        self.maybe = np.zeros(1 << 22, bool)
+        self.maybe[self._cell(self.key)] = True
+
+    @staticmethod
+    def _cell(key: np.ndarray) -> np.ndarray:
+        return (key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(42)).astype(np.int64)
+
+    def matches(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, end, piece) of all pieces in an array of code points."""
+        at = np.arange(len(codes))
+        node = self.root[codes]
+        starts, ends, pieces = [], [], []
+        depth = 1
+        while True:
+            live = np.flatnonzero(node)
+            at, node = at[live], node[live]
+            piece = self.final[node]
+            hit = np.flatnonzero(piece >= 0)
+            starts.append(at[hit])
+            ends.append(at[hit] + depth)
+            pieces.append(piece[hit])
+            live = np.flatnonzero(at + depth < len(codes))
+            at, node = at[live], node[live]
+            key = node.astype(np.int64) << 21 | codes[at + depth]
+            live = np.flatnonzero(self.maybe[self._cell(key)])
+            if not len(live):
+                return np.concatenate(starts), np.concatenate(ends), np.concatenate(pieces).astype(np.int64)
+            at, key = at[live], key[live]
+            k = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+            node = np.where(self.key[k] == key, self.child[k], 0)
+            depth += 1
+
+
+class Lattices:
+    """Builds lattices; made once in each worker. Matches come from an Aho-Corasick machine, or with ``trie`` from a prefix tree."""
+
+    def __init__(self, vocab: Vocabulary, trie: bool = False):
         self.vocab = vocab
-        self.machine = ahocorasick.Automaton()
         longest = 0
         self.separable = True
-        for k in np.flatnonzero(vocab.kind == 1):
-            piece = vocab.piece[k]
-            if piece:
-                self.machine.add_word(piece, int(k))
-                longest = max(longest, len(piece))
-                self.separable &= SPACE not in piece.lstrip(SPACE)
-        self.machine.make_automaton()
+        normal = [int(k) for k in np.flatnonzero(vocab.kind == 1) if vocab.piece[k]]
+        for k in normal:
+            longest = max(longest, len(vocab.piece[k]))
+            self.separable &= SPACE not in vocab.piece[k].lstrip(SPACE)
         self.room = max(2, longest + 1)
+        self.trie = Trie(vocab) if trie else None
+        if not trie:
+            self.machine = ahocorasick.Automaton()
+            for k in normal:
+                self.machine.add_word(vocab.piece[k], k)
+            self.machine.make_automaton()
 
     def chunks(self, text: str) -> list[str]:
         """The text with marked spaces, cut where no piece can reach across."""
@@ -140,26 +199,31 @@ class Lattices:
         vocab = self.vocab
         size = np.array([len(c) for c in chunks], np.int64)
         base = np.cumsum(size + 1) - size - 1
-        chunk_of = np.repeat(np.arange(len(chunks)), size + 1)
-        # Chunks are parted by one character that belongs to no node's edge: matches that touch it are left out.
-        joined = "\n".join(chunks) + "\n"
-        flat = np.fromiter(itertools.chain.from_iterable(self.machine.iter(joined)), np.int64).reshape(-1, 2)
-        piece = flat[:, 1]
-        end = flat[:, 0] + 1
-        start = end - vocab.length[piece]
         last = base + size
-        inside = end <= last[chunk_of[np.maximum(start, 0)]]
-        start, end, piece = start[inside], end[inside], piece[inside]
-        single = np.zeros(len(joined) + 1, bool)
-        single[start[vocab.length[piece] == 1]] = True
+        # Chunks are parted by one place that is in no edge.
+        joined = "\n".join(chunks) + "\n"
+        if self.trie:
+            codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+            codes[last] = (1 << 21) - 1
+            start, end, piece = self.trie.matches(codes)
+        else:
+            flat = np.fromiter(itertools.chain.from_iterable(self.machine.iter(joined)), np.int64).reshape(-1, 2)
+            piece = flat[:, 1]
+            end = flat[:, 0] + 1
+            start = end - vocab.length[piece]
+            stop = np.repeat(last, size + 1)
+            inside = end <= stop[start]
+            start, end, piece = start[inside], end[inside], piece[inside]
+        single = np.zeros(len(joined), bool)
+        single[start[end - start == 1]] = True
         single[last] = True
-        lone = np.flatnonzero(~single[: len(joined)])
+        lone = np.flatnonzero(~single)
         start, end = np.concatenate([start, lone]), np.concatenate([end, lone + 1])
         piece = np.concatenate([piece, np.full(len(lone), -1)])
+        level = end - np.repeat(base, size + 1)[start]
+        order = np.argsort((level * (len(joined) + 1) + end) * self.room - (end - start))
+        start, end, piece, level = start[order], end[order], piece[order], level[order]
         score = np.where(piece >= 0, vocab.score[piece], vocab.unknown)
-        level = end - base[chunk_of[start]]
-        order = np.lexsort((start, end, level))
-        start, end, piece, score, level = (x[order] for x in (start, end, piece, score, level))
         cuts = np.searchsorted(level, np.arange(1, int(size.max(initial=0)) + 2))
         return Edges(start, end, piece, score, cuts, base, size)
 
