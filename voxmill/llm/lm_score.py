@@ -53,7 +53,7 @@ def lexicon(word: np.ndarray, count: np.ndarray, total: int, distinct: int, clas
     word, count, cls = word[order], count[order].astype(np.float64), cls[order]
     hashed = classes - own - 1
     rest = max(0.0, total - count.sum())
-    per_class = np.bincount(cls, count, classes)
+    per_class = np.bincount(cls, count, classes).astype(np.float64)
     per_class[1 + own :] += rest / hashed + 1
     unseen = max(1.0, (distinct - len(word)) / hashed)
     other = np.full(classes, -np.inf)
