@@ -49,7 +49,8 @@ def l2_normalize(v: Column) -> Column:
 
 
 def cosine(a: Column, b: Column) -> Column:
-    """Cosine similarity between -1 and 1."""
+    """Cosine similarity between -1 and 1; null with a null vector."""
     a, b = a.cast("array<double>"), b.cast("array<double>")
     dot = F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), dot / ((norm(a) + F.lit(1e-12)) * (norm(b) + F.lit(1e-12)))))
+    value = dot / ((norm(a) + F.lit(1e-12)) * (norm(b) + F.lit(1e-12)))
+    return F.when(a.isNotNull() & b.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), value)))

@@ -8,6 +8,7 @@ from typing import Any, Protocol
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 from .audio.pcm import RATE, log_power, windows
 
@@ -41,7 +42,7 @@ def run_scorer(df: DataFrame, scorer: Scorer, on_error: str = "fail", drop: tupl
     """
     if on_error not in ("fail", "drop", "record", "passthrough"):
         raise ValueError(f"unknown policy {on_error}")
-    names = [part.split()[0] for part in scorer.output.split(",")]
+    names = StructType.fromDDL(scorer.output).names
     kept = [c for c in df.columns if c not in drop]
 
     def one(state: Any, rows: pd.DataFrame) -> pd.DataFrame:

@@ -17,7 +17,10 @@ MORE_EXTENSIONS = (*EXTENSIONS, "opus")
 
 
 def audio_files(spark: SparkSession, root: str, extensions: tuple[str, ...] = EXTENSIONS, flat_ids: bool = False, max_files: int | None = None, content: bool = False) -> DataFrame:
-    """(audio_id, path, length[, content]) of all audio files below ``root``, whatever the case of their suffix; ``max_files`` keeps the first by path."""
+    """(audio_id, path, length[, content]) of all audio files below ``root``, whatever the case of their suffix; ``max_files`` keeps the first by path.
+
+    Files without content are not listed.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     files = files.where(F.lower("path").rlike(rf"\.({'|'.join(extensions)})$"))
     out = files.select(audio_id(F.col("path"), root, flat_ids).alias("audio_id"), "path", "length", *(["content"] if content else []))
