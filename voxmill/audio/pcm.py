@@ -9,23 +9,23 @@ import numpy as np
 RATE = 16_000
 
 
-def decode_wav(data: bytes) -> tuple[np.ndarray, int]:
+def decode_wav(content: bytes) -> "tuple[np.ndarray, int]":
     """(float32 mono samples between -1 and 1, rate) of a RIFF file with integer PCM of 8 to 32 bits or floats; channels are averaged."""
-    if data[:4] != b"RIFF" or data[8:12] != b"WAVE":
+    if content[:4] != b"RIFF" or content[8:12] != b"WAVE":
         raise ValueError("not a WAV file")
     at, form = 12, None
-    while at + 8 <= len(data):
-        name, size = data[at : at + 4], struct.unpack_from("<I", data, at + 4)[0]
+    while at + 8 <= len(content):
+        name, size = content[at : at + 4], struct.unpack_from("<I", content, at + 4)[0]
         body = at + 8
         if name == b"fmt ":
-            form = struct.unpack_from("<HHIIHH", data, body)
+            form = struct.unpack_from("<HHIIHH", content, body)
             if form[0] == 0xFFFE:
-                form = (struct.unpack_from("<H", data, body + 24)[0], *form[1:])
+                form = (struct.unpack_from("<H", content, body + 24)[0], *form[1:])
         elif name == b"data":
             if form is None:
                 raise ValueError("no format before the data")
             kind, channels, rate, _, _, bits = form
-            raw = data[body : body + min(size, len(data) - body)]
+            raw = content[body : body + min(size, len(content) - body)]
             width = bits // 8
             raw = raw[: len(raw) // (width * channels) * width * channels]
             if kind == 3 and bits in (32, 64):

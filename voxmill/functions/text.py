@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-PUNCTUATION = "，。！？；：、（）()【】[]《》\"'—…,.!?;:"
+#: ASCII marks, then dashes, brackets and full-width marks by code point.
+PUNCTUATION = '!"\'(),.:;?[]' + "—…、。《》【】！（），：；？"
 #: White space of Unicode and the four ASCII separators, as the body of a character class that Java and RE2 read alike.
 SPACES = r"\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 _NUMBER = r"^[+-]?([0-9]+(_[0-9]+)*\.?([0-9]+(_[0-9]+)*)?|\.[0-9]+(_[0-9]+)*)([eE][+-]?[0-9]+)?$"
@@ -25,20 +26,20 @@ def safe_name(name: Column, squeeze: bool = True, default: str = "na") -> Column
     """Characters other than letters, digits, ``._-`` become ``_``; with ``squeeze`` runs shrink to one, ends are trimmed and nothing becomes the default."""
     name = F.coalesce(name, F.lit(""))
     if not squeeze:
-        return F.regexp_replace(name, r"[^0-9A-Za-z._-]", "_")
-    plain = F.regexp_replace(F.regexp_replace(name, r"[^0-9A-Za-z._-]+", "_"), "_+", "_")
+        return F.regexp_replace(name, r"[^A-Za-z0-9_.-]", "_")
+    plain = F.regexp_replace(F.regexp_replace(name, r"[^A-Za-z0-9_.-]+", "_"), "_+", "_")
     plain = F.regexp_replace(plain, "^_+|_+$", "")
     return F.when(plain == "", F.lit(default)).otherwise(plain)
 
 
 def sanitize_id(name: Column, most: int = 80) -> Column:
     plain = strip(F.coalesce(name, F.lit("")))
-    return F.when(plain == "", F.lit("UNKNOWN")).otherwise(F.left(F.regexp_replace(plain, r"[^0-9A-Za-z_\-.]+", "_"), F.lit(most)))
+    return F.when(plain == "", F.lit("UNKNOWN")).otherwise(F.left(F.regexp_replace(plain, r"[^A-Za-z0-9_.-]+", "_"), F.lit(most)))
 
 
 def strip_special_tokens(text: Column) -> Column:
     """The text without ``<|...|>`` marks, trimmed."""
-    return strip(F.regexp_replace(text, r"<\|[^|]+\|>", ""))
+    return strip(F.regexp_replace(text, r"[<][|][^|]+[|][>]", ""))
 
 
 def tag_name(tag: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.ids import export_uid, segment_uuid
 from ..functions.text import safe_name, strip
 
-OPTIONAL = ("mos_sig", "mos_bak", "mos_ovr", "spk_id", "sim_spk", "sim_file", "error")
+OPTIONAL = (*(f"mos_{k}" for k in ("ovr", "sig", "bak")), "error", "spk_id", *(f"sim_{k}" for k in ("file", "spk")))
 
 
 def export_labels(items: DataFrame, row: str, require_text: bool = True, audio_dir: str = "audio", suffix: str = "wav") -> DataFrame:

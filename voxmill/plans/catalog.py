@@ -307,7 +307,7 @@ def file_index_slice(spark, sf_dir):
 # Training tables
 
 _SQL_SPACES = SPACES
-_SQL_NORM = f"trim(regexp_replace(lower(regexp_replace(coalesce(text, ''), '[{PUNCTUATION.replace('[', chr(92) + '[').replace(']', chr(92) + ']')}]', '', 'g')), '[{_SQL_SPACES}]+', ' ', 'g'))"
+_SQL_NORM = f"trim(regexp_replace(lower(regexp_replace(coalesce(text, ''), '[{PUNCTUATION.replace('[', chr(92) + '[').replace(']', chr(92) + ']').replace('-', chr(92) + '-')}]', '', 'g')), '[{_SQL_SPACES}]+', ' ', 'g'))"
 _REASON = f"""CASE WHEN {_SQL_NORM} = '' THEN 'no_text' WHEN coalesce(wav, '') = '' THEN 'no_wav' WHEN duration_sec < 1 OR duration_sec > 30 THEN 'duration'
   WHEN lang_prob < 0.5 OR coalesce(lang, '') NOT IN ('en', 'fr') THEN 'language' WHEN coalesce(mos_ovr < 1.5, false) THEN 'mos' ELSE 'keep' END"""
 
@@ -393,12 +393,12 @@ def norm_text(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", text.norm_text(F.col("text")).alias("text"))
 
 
-@plan("""SELECT page_id, coalesce(nullif(regexp_replace(regexp_replace(regexp_replace(url, '[^0-9A-Za-z._-]+', '_', 'g'), '_+', '_', 'g'), '^_+|_+$', '', 'g'), ''), 'na') AS squeezed, regexp_replace(url, '[^0-9A-Za-z._-]', '_', 'g') AS plain FROM pages""")
+@plan("""SELECT page_id, coalesce(nullif(regexp_replace(regexp_replace(regexp_replace(url, '[^A-Za-z0-9_.-]+', '_', 'g'), '_+', '_', 'g'), '^_+|_+$', '', 'g'), ''), 'na') AS squeezed, regexp_replace(url, '[^A-Za-z0-9_.-]', '_', 'g') AS plain FROM pages""")
 def safe_name(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", text.safe_name(F.col("url")).alias("squeezed"), text.safe_name(F.col("url"), squeeze=False).alias("plain"))
 
 
-@plan("SELECT page_id, left(regexp_replace(trim(url), '[^0-9A-Za-z_.-]+', '_', 'g'), 30) AS name FROM pages")
+@plan("SELECT page_id, left(regexp_replace(trim(url), '[^A-Za-z0-9_.-]+', '_', 'g'), 30) AS name FROM pages")
 def sanitize_id(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", text.sanitize_id(F.col("url"), 30).alias("name"))
 

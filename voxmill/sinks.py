@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 def write_json_array(df: DataFrame, path: str) -> int:
     """One file with a pretty JSON array in the table's order, nulls left out; rows stream through the driver one partition at a time."""
     n = 0
-    with open(path, "w", encoding="utf-8") as f:
+    with Path(path).open(mode="w", encoding="utf-8") as f:
         f.write("[")
         for line in df.select(F.to_json(F.struct(*df.columns))).toLocalIterator():
             f.write(("," if n else "") + "\n  " + json.dumps(json.loads(line[0]), ensure_ascii=False))
