@@ -54,6 +54,15 @@ def test_files(spark, tree):
         audio_files.require_some(df.limit(0))
 
 
+def test_transcoding_by_a_program(spark, tmp_path):
+    program = tmp_path / "copy"
+    program.write_text("#!/bin/sh\ncat\n")
+    program.chmod(0o755)
+    df = spark.createDataFrame([(1, bytearray(b"abc"))], "k int, content binary")
+    assert bytes(audio_files.transcoded(df, ["k"], program=str(program)).first().wav) == b"abc"
+    assert audio_files.transcoded(df, ["k"], program="/no/such/program").first().error == "FileNotFoundError"
+
+
 def test_pcm():
     for channels in (1, 2):
         x, rate = pcm.decode_wav(tone(0.1, channels=channels))
