@@ -161,6 +161,24 @@ def test_edited_passages(spark):
     assert all(a // 2 == b // 2 for a, b in found) and len(found) >= 45
 
 
+def test_edited_copies_of_popular_passages(spark):
+    rng = random.Random(6)
+    words = [f"v{k}" for k in range(20000)]
+    rows, verifiable = [], set()
+    for family in range(8):
+        p = [rng.choice(words) for _ in range(60)]
+        value = lambda w: shingles(find_words(np.frombuffer(x := " ".join(w).encode(), np.uint8), np.array([0, len(x)])), 8)[0]
+        for j in range(70):
+            copy = edited(rng, p, 0.04 if j >= 60 else 0, words)
+            if j >= 60 and passages.aligned_passages(value(p), value(copy), 0, 50, 8, passages.SHARE):
+                verifiable.add(len(rows))
+            rows.append((len(rows), " ".join([rng.choice(words) for _ in range(60)] + copy + [rng.choice(words) for _ in range(60)])))
+    found = {(r.doc_a, r.doc_b) for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert all(a // 70 == b // 70 for a, b in found)
+    assert len(verifiable) > 40 and len(verifiable & {x for p in found for x in p}) >= 0.97 * len(verifiable)
+    assert len(found) < 30 * len(rows)
+
+
 def test_compact_windows_against_all_nodes():
     rng = np.random.default_rng(1)
     for trial in range(20):
