@@ -179,6 +179,20 @@ def test_edited_copies_of_popular_passages(spark):
     assert len(found) < 30 * len(rows)
 
 
+def test_verbatim_passages_over_common_blocks(spark):
+    rng = random.Random(8)
+    words = [f"v{k}" for k in range(20000)]
+    draw = lambda n: [rng.choice(words) for _ in range(n)]
+    rows, want = [], []
+    for block, more in [(48, 4), (49, 2), (46, 6), (48, 3), (49, 1), (47, 4)] * 3:
+        shared, rest = draw(block), draw(more)
+        for j in range(42):
+            rows.append((len(rows), " ".join(draw(60) + shared + (rest if j >= 40 else []) + draw(60))))
+        want.append((len(rows) - 2, len(rows) - 1))
+    found = {(r.doc_a, r.doc_b) for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert set(want) <= found
+
+
 def test_compact_windows_against_all_nodes():
     rng = np.random.default_rng(1)
     for trial in range(20):

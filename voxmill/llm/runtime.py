@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,13 +76,8 @@ def _bit(ids: np.ndarray) -> np.ndarray:
     return ((x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
 
-def among(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows (doc_id, text) whose doc_id is in the one column of ``ids``.
-
-    A bit set of fixed size (2 MB), made of the ids and sent to the executors,
-    leaves out most other rows before the join; the more ids there are the less
-    it leaves out, and the join alone decides.
-    """
+def bit_set(ids: DataFrame) -> Broadcast:
+    """A bit set of fixed size (2 MB), made of the one column of ``ids`` and sent to the executors."""
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -91,11 +87,26 @@ def among(rows: DataFrame, ids: DataFrame) -> DataFrame:
     found = ids.mapInArrow(bits, "word bigint, bits bigint").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
     words = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
     words[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
-    sent = rows.sparkSession.sparkContext.broadcast(words)
+    return ids.sparkSession.sparkContext.broadcast(words)
+
+
+def maybe_in(words: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Which ids the bit set may hold."""
+    at = _bit(ids)
+    return (words[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
+
+
+def among(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows (doc_id, text) whose doc_id is in the one column of ``ids``.
+
+    A bit set of fixed size (2 MB), made of the ids and sent to the executors,
+    leaves out most other rows before the join; the more ids there are the less
+    it leaves out, and the join alone decides.
+    """
+    sent = bit_set(ids)
 
     def maybe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = _bit(batch.column(0).to_numpy(zero_copy_only=False))
-            yield batch.filter(pa.array((sent.value[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)).astype(bool)))
+            yield batch.filter(pa.array(maybe_in(sent.value, batch.column(0).to_numpy(zero_copy_only=False))))
 
     return rows.mapInArrow(maybe, rows.schema).join(ids, "doc_id", "left_semi")
