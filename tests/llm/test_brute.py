@@ -416,6 +416,16 @@ def test_pipeline_against_its_parts(spark, data, docs):
     assert [n for n, _ in corpus_pipeline.STAGES][:2] == ["quality_classifier", "minhash_near_dedup"]
 
 
+def test_every_word_is_a_training_target(monkeypatch):
+    seen, real = [], lm_score.contexts
+    monkeypatch.setattr(lm_score, "contexts", lambda cls, first, at, doc: seen.extend(at.tolist()) or real(cls, first, at, doc))
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([" ".join("abcdefgh" * 50)])], names=["doc_id", "text"])
+    none = lm_score.lexicon(np.zeros(0, np.uint64), np.zeros(0, np.int64), 0, 0, lm_score.CLASSES, lm_score.OWN_CLASSES)
+    for k in range(lm_score.ROUNDS):
+        list(lm_score._trained_rows(iter([batch]), none, lm_score.fresh_network(lm_score.CLASSES), lm_score.STRIDE, k, 0.01))
+    assert sorted(seen) == list(range(400))
+
+
 def test_registry():
     numbers = sorted(int(re.match(r"op(\d+)_", n).group(1)) for n in registry.queries())
     assert numbers == list(range(1, 11)) and set(registry.oracle_sql()) <= set(registry.queries())

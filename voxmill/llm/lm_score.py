@@ -18,7 +18,7 @@ CLASSES = 128
 OWN_CLASSES = 64
 DIMS = 16
 HIDDEN = 24
-STRIDE = 8
+STRIDE = 2
 ROUNDS = 2
 _BATCH = 2048
 _RATE = 0.01
@@ -245,14 +245,17 @@ def gather_lexicon(rows: DataFrame, vocabulary: int, classes: int, own: int) ->
 
 
 def train(rows: DataFrame, lex: Lexicon, *, stride: int = STRIDE, rounds: int = ROUNDS) -> Network:
-    """The network after ``rounds`` passes; in each, every partition trains on every ``stride``-th word of all its texts and the results are averaged."""
+    """The network after ``rounds`` passes; in each, every partition trains on every ``stride``-th word of all its texts and the results are averaged.
+
+    The passes begin one word apart, so that in ``stride`` of them each word is a target once.
+    """
     spark = rows.sparkSession
     net = fresh_network(lex.classes)
     sent = spark.sparkContext.broadcast(lex)
     for k in range(rounds):
         now = spark.sparkContext.broadcast(net)
         parts = rows.mapInArrow(
-            lambda it, now=now, k=k: _trained_rows(it, sent.value, now.value, stride, 3 * k + 1, _RATE / (1 + k)), "seen bigint, network binary"
+            lambda it, now=now, k=k: _trained_rows(it, sent.value, now.value, stride, k, _RATE / (1 + k)), "seen bigint, network binary"
         )
         total, sums = 0, None
         for row in cut(parts).toLocalIterator():
