@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +19,9 @@ SAMPLES = 2
 THETA = 0.5
 SEED = 20_240
 _ROWS = 512
-_CHARS = 1_000_000
-_REMEMBERED = 300_000
+_CHARS = 500_000
+_LEARNT_CHARS = 100_000
+_KEPT_EDGES = 3_000_000
 
 
 def uniform(key: np.ndarray, place: np.ndarray, salt: int) -> np.ndarray:
@@ -32,24 +34,48 @@ class Tables:
     """Backward transition probabilities of the lattices of distinct chunks; new chunks are appended.
 
     The edges into node v are ``first[v]`` to ``first[v + 1]``; ``logp`` is the
-    log-probability of each, given that a path passes through v. ``ladder`` is one
-    increasing array for all nodes: node number plus the cumulated share of its edges.
+    log-probability of each, given that a path passes through v, ``length`` its
+    characters, ``piece`` its piece and ``ladder`` the cumulated share of v's edges up
+    to it. The buffers grow by doubling; what is kept from one block of texts to the
+    next has at most ``_KEPT_EDGES`` edges, which only affects speed.
     """
 
+    _EDGE = (("logp", np.float64), ("ladder", np.float64), ("piece", np.int32), ("length", np.uint8))
+
     def __init__(self, lattices: Lattices, theta: float):
         self.lattices, self.theta = lattices, theta
+        if lattices.room > 255:
+            raise ValueError("pieces of at most 254 characters")
+        for name, kind in self._EDGE:
+            setattr(self, name, np.empty(1 << 16, kind))
+        self.first = np.empty(1 << 16, np.int64)
+        self.base, self.size = np.empty(1 << 12, np.int64), np.empty(1 << 12, np.int64)
         self.clear()
 
     def clear(self) -> None:
-        none, small = np.zeros(0, np.int64), np.zeros(0, np.int32)
         self.number: dict[str, int] = {}
-        self.start, self.end, self.piece, self.base, self.size = small, small, small, none, none
-        self.logp, self.ladder = np.zeros(0), np.zeros(0)
-        self.first = np.zeros(1, np.int64)
+        self.edges = self.nodes = 0
+        self.first[0] = 0
+
+    def _put(self, name: str, at: int, values: np.ndarray) -> None:
+        held = getattr(self, name)
+        if at + len(values) > len(held):
+            held = np.concatenate([held[:at], np.empty(max(at, len(values)) + len(values), held.dtype)])
+            setattr(self, name, held)
+        held[at : at + len(values)] = values
+
+    def learn(self, chunks: list[str]) -> None:
+        """Adds new chunks, a bounded number of characters at a time."""
+        total = np.cumsum(np.fromiter(map(len, chunks), np.int64, len(chunks)))
+        at = 0
+        while at < len(chunks):
+            to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + _LEARNT_CHARS)))
+            self._add(chunks[at:to])
+            at = to
 
-    def add(self, chunks: list[str]) -> None:
+    def _add(self, chunks: list[str]) -> None:
         e = self.lattices.edges(chunks)
-        n, nodes, edges = int((e.size + 1).sum()), len(self.first) - 1, len(self.start)
+        n = int((e.size + 1).sum())
         alpha = np.zeros(n)
         score = e.score * (self.theta / UNIT)
         for a, b in zip(e.level, e.level[1:]):
@@ -62,29 +88,52 @@ class Tables:
         order = np.argsort(e.end, kind="stable")
         start, end = e.start[order], e.end[order]
         logp = np.minimum(alpha[start] + score[order] - alpha[end], 0.0)
-        first = np.searchsorted(end, np.arange(n + 1))
+        first = np.concatenate([[0], np.cumsum(np.bincount(end, minlength=n))])
+        logp[first[1:][np.diff(first) == 1] - 1] = 0.0
         whole = np.concatenate([[0.0], np.cumsum(np.exp(logp))])
         before = whole[first[end]]
         share = np.minimum((whole[1:] - before) / (whole[first[end + 1]] - before), 1.0)
         share[first[1:][np.diff(first) > 0] - 1] = 1.0
-        for name, more in (
-            ("start", (start + nodes).astype(np.int32)), ("end", (end + nodes).astype(np.int32)), ("piece", e.piece[order].astype(np.int32)), ("logp", logp), ("ladder", end + nodes + share), ("base", e.base + nodes), ("size", e.size),
-        ):
-            setattr(self, name, np.concatenate([getattr(self, name), more]))
-        self.first = np.concatenate([self.first, first[1:] + edges])
+        for name, values in (("logp", logp), ("ladder", share), ("piece", e.piece[order]), ("length", end - start)):
+            self._put(name, self.edges, values)
+        self._put("first", self.nodes + 1, first[1:] + self.edges)
+        self._put("base", len(self.number), e.base + self.nodes)
+        self._put("size", len(self.number), e.size)
+        self.edges += len(logp)
+        self.nodes += n
         for c in chunks:
             self.number[c] = len(self.number)
 
 
+class Path(NamedTuple):
+    """The branching steps of one sampled path per text that are its own, by text and place.
+
+    ``summed`` holds the running sum of the steps' log-probabilities, ``of`` the
+    range of steps of each text, ``prefix`` the log-probability of what the path
+    shares with an earlier one, to the right of its own steps.
+    """
+
+    place: np.ndarray
+    edge: np.ndarray
+    summed: np.ndarray
+    of: np.ndarray
+    prefix: np.ndarray
+
+    def right_of(self, doc: np.ndarray, step: np.ndarray) -> np.ndarray:
+        """The log-probability of the path's part from the end of the text to a step, that step included."""
+        return self.prefix[doc] + self.summed[self.of[doc + 1]] - self.summed[step]
+
+
 class Sampler:
-    """Gumbel top-k over whole texts.
+    """Gumbel top-k over whole texts by perturbed A-star search.
 
-    A search node is the set of all segmentations with a given right end part.
-    Its perturbed score is Gumbel distributed around its log-probability; the
-    best child of a node keeps the node's score and the others are below it. The
-    agenda therefore always holds the siblings left behind by the paths so far,
-    and popping the best of them starts the next distinct segmentation. Of each
-    path only as many siblings are kept as can still be popped.
+    A node of the search is a set of segmentations: all that leave a known path at
+    one of a range of its steps, or at one step by one of a range of edges. Its
+    exact log-probability is the bound of the search, perturbed by a Gumbel
+    variable that stays below its parent's score, so it is the score of the set's
+    best member. The best node on a text's agenda gives the next distinct
+    segmentation: the step, the edge and all to the left are drawn by their
+    probabilities. What the set still holds goes back as smaller sets.
 
     Paths of many texts are searched at once: a path is an array over all
     characters with the lattice edge that ends there, or -1.
@@ -109,136 +158,180 @@ class Sampler:
             if not len(live):
                 return
             node, at, base, key, begin = node[live], at[live], base[live], key[live], begin[live]
-            aim = node + uniform(key, at - begin, salt)
+            aim = uniform(key, at - begin, salt)
             edge = t.first[node]
             short = np.flatnonzero(t.ladder[edge] < aim)
             while len(short):
                 edge[short] += 1
                 short = short[t.ladder[edge[short]] < aim[short]]
             path[at - 1] = edge
-            before = t.start[edge]
-            at = at - (node - before)
-            node = before
-
-    def siblings(self, doc, at, edge, gx, limit, key, place, salt, most: int):
-        """Of each document the ``most`` best edges not taken at the given steps: (document, place, edge, perturbed score, gx)."""
-        t = self.tables
-        node = t.end[edge]
-        count = t.first[node + 1] - t.first[node]
-        some = np.flatnonzero(count > 1)
-        doc, at, edge, gx, limit, place, node, count = (x[some] for x in (doc, at, edge, gx, limit, place, node, count))
-        step = np.repeat(np.arange(len(node)), count)
-        other = np.arange(len(step)) - np.repeat(np.cumsum(count) - count - t.first[node], count)
-        keep = np.flatnonzero(other != edge[step])
-        step, other = step[keep], other[keep]
-        phi = gx[step] + t.logp[other]
-        u = uniform(key[doc[step]], place[step] * 64 + (node[step] - t.start[other]), salt)
-        e = -np.log(u)
-        # Below the limit t, phi - log(exp(phi - t) + e) grows with phi - log(e), by which siblings are compared.
-        order = phi - np.log(e)
-        who = doc[step]
-        rows = []
-        for _ in range(most):
-            if not len(who):
-                break
-            first = np.flatnonzero(np.concatenate([[True], who[1:] != who[:-1]]))
-            top = np.repeat(np.maximum.reduceat(order, first), np.diff(np.append(first, len(who))))
-            best = np.flatnonzero(order == top)
-            best = best[np.concatenate([[True], who[best][1:] != who[best][:-1]])]
-            g = phi[best] - np.logaddexp(phi[best] - limit[step[best]], np.log(e[best]))
-            rows.append((who[best], at[step[best]], other[best], g, gx[step[best]]))
-            order[best] = -np.inf
-            if len(rows) < most and not np.isfinite(order).all():
-                left = np.flatnonzero(order > -np.inf)
-                who, step, other, phi, e, order = who[left], step[left], other[left], phi[left], e[left], order[left]
-        return rows
+            size = t.length[edge]
+            at = at - size
+            node = node - size
+
+    def _shares(self, low: np.ndarray, high: np.ndarray, but: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(range, edge, its probability at its node, first of each range) of the edges of nonempty ranges; edge ``but`` counts 0."""
+        size = high - low
+        first = np.cumsum(size) - size
+        of = np.repeat(np.arange(len(low)), size)
+        edge = np.arange(len(of)) - first[of] + low[of]
+        return of, edge, np.where(edge == but[of], 0.0, np.exp(self.tables.logp[edge])), first
+
+    def _draw(self, low: np.ndarray, high: np.ndarray, but: np.ndarray, u: np.ndarray) -> np.ndarray:
+        """One edge of each range, other than ``but``, by probability."""
+        of, edge, p, first = self._shares(low, high, but)
+        total = np.add.reduceat(p, first)
+        aim = total * u
+        c = np.cumsum(p)
+        c -= np.repeat((c - p)[first], high - low)
+        c = np.where(p > 0, c, -1.0)
+        hit = c >= np.repeat(aim, high - low)
+        at = np.where(hit, np.arange(len(of)), len(of))
+        picked = np.minimum.reduceat(at, first)
+        # by rounding no sum may reach the aim: then the last edge with a probability
+        last = np.maximum.reduceat(np.where(p > 0, np.arange(len(of)), -1), first)
+        return edge[np.where(picked < len(of), picked, last)]
 
     def __call__(self, keys: np.ndarray, texts: list[str]) -> list[list[tuple[np.ndarray, float, float, float]]]:
         """For each text its samples, best first: (piece ids, log-probability, perturbed score, log inclusion probability)."""
         t, n = self.tables, len(texts)
         parts = [self.lattices.chunks(x) for x in texts]
-        if len(t.number) > _REMEMBERED:
+        if t.edges > _KEPT_EDGES:
             t.clear()
         new = list(set().union(*parts).difference(t.number))
         if new:
-            t.add(new)
+            t.learn(new)
         key = mix64(keys.astype(np.int64).view(np.uint64) + np.uint64(self.seed))
         root = -np.log(-np.log(uniform(key, np.zeros(n, np.int64), 1)))
-        chunk = np.fromiter(map(t.number.__getitem__, itertools.chain.from_iterable(parts)), np.int64)
+        chunk = np.fromiter(map(t.number.__getitem__, itertools.chain.from_iterable(parts)), np.int64, sum(map(len, parts)))
         of = np.repeat(np.arange(n), [len(p) for p in parts])
+        del parts
         size, base = t.size[chunk], t.base[chunk]
         run = np.cumsum(size)  # place where each chunk ends
         bounds = np.searchsorted(of, np.arange(n + 1))
         begin = np.concatenate([[0], run])[bounds]  # place where each text starts, and the end
-        doc_of = np.repeat(np.arange(n), np.diff(begin))
 
-        path = np.full(int(begin[-1]), -1)
+        path = np.full(int(begin[-1]), -1, np.int32)
         self.walk(path, base + size, run, base, key[of], begin[of], 2)
         where, alive = root, np.arange(n)
         edge_of_stay = begin[1:].copy()  # steps that end at or before this place are new
         prefix = np.zeros(n)
-        paths, agenda = [], []
+        raw, paths = [], []
+        drawn = np.zeros(n, np.int64)  # sets that each text has put on its agenda so far
+        agenda = np.zeros((8, 0))
         out: list[list] = [[] for _ in range(n)]
+
+        def put(rows: list[tuple[np.ndarray, ...]]) -> np.ndarray:
+            """The agenda with more sets: (text, path, step or -1, low, high, log-probability, limit), those without members left out."""
+            more = np.concatenate([np.stack([np.broadcast_to(np.asarray(x, np.float64), len(r[0])) for x in r]) for r in rows], axis=1)
+            more = more[:, more[5] > -np.inf]
+            more = more[:, np.argsort(more[0], kind="stable")]
+            doc = more[0].astype(np.int64)
+            place = drawn[doc] + np.arange(len(doc)) - np.searchsorted(doc, doc)
+            np.add.at(drawn, doc, 1)
+            e = -np.log(uniform(key[doc], place, 3))
+            g = more[5] - np.logaddexp(more[5] - more[6], np.log(e))
+            return np.concatenate([agenda, np.concatenate([more, g[None]])], axis=1)
+
+        def left_out(i: Path, doc: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+            """Log-probability of leaving a path at its steps from ``low`` to ``high``, which is nearer to the text's end."""
+            right = np.where(low < high, i.right_of(doc, high), 0.0)
+            inside = np.where(low < high, i.summed[high] - i.summed[low], 0.0)
+            with np.errstate(divide="ignore"):
+                return np.where(low < high, right + np.log(-np.expm1(inside)), -np.inf)
+
         for r in range(self.samples):
-            paths.append(path)
+            raw.append(path)
             at = np.flatnonzero(path >= 0)
-            edge, doc = path[at], doc_of[at]
+            edge = path[at]
+            bounds = np.searchsorted(at, begin)
             at = at + 1
-            logp = np.concatenate([[0.0], np.cumsum(t.logp[edge])])
-            bounds = np.searchsorted(at, begin, "right")
-            self._emit(out, alive, t.piece[edge], bounds, logp[bounds[1:]] - logp[bounds[:-1]], where, texts, at - begin[doc])
-            fresh = at <= edge_of_stay[doc]
-            at, edge, doc = at[fresh], edge[fresh], doc[fresh]
-            logp = np.concatenate([[0.0], np.cumsum(t.logp[edge])])
-            last = np.searchsorted(doc, np.arange(n), "right")
-            gx = logp[last[doc]] - logp[1:] + prefix[doc]
-            rows = self.siblings(doc, at, edge, gx, where[doc], key, at - begin[doc], 101 + 2 * r, self.samples - r)
-            agenda += [(*x, np.full(len(x[0]), r)) for x in rows]
+            logp = t.logp[edge]
+            summed = np.concatenate([[0.0], np.cumsum(logp)])
+            self._emit(out, alive, t.piece[edge], bounds, summed[bounds[1:]] - summed[bounds[:-1]], where, texts, at, begin)
+            own = np.flatnonzero((logp < 0) & (at <= np.repeat(edge_of_stay, np.diff(bounds))))
+            at, edge = at[own], edge[own]
+            # running sums from the left; a step's number grows with its place
+            paths.append(now := Path(at, edge, np.concatenate([[0.0], np.cumsum(logp[own])]), np.searchsorted(own, bounds), prefix))
+            low, high = now.of[alive], now.of[alive + 1]
+            agenda = put([(alive, r, -1, low, high, left_out(now, alive, low, high), where[alive])])
             where = np.full(n, -np.inf)
-            if not sum(len(x[0]) for x in agenda):
+            if not agenda.shape[1]:
                 break
-            d, p, e, g, gx, made = (np.concatenate(x) for x in zip(*agenda))
-            order = np.lexsort((e, -g, d))
-            d, p, e, g, gx, made = (x[order] for x in (d, p, e, g, gx, made))
-            lead = np.concatenate([[True], d[1:] != d[:-1]])
-            where[d[lead]] = g[lead]
+            agenda = agenda[:, np.lexsort((-agenda[7], agenda[0]))]
+            lead = np.concatenate([[True], agenda[0, 1:] != agenda[0, :-1]])
+            top, agenda = agenda[:, lead], agenda[:, ~lead]
+            alive, g = top[0].astype(np.int64), top[7]
+            where[alive] = g
             if r == self.samples - 1:
                 break
-            agenda = [tuple(x[~lead] for x in (d, p, e, g, gx, made))]
-            alive, p, e, gx, made = d[lead], p[lead], e[lead], gx[lead], made[lead]
+            made, step, low, high = (top[k].astype(np.int64) for k in (1, 2, 3, 4))
+            u = [uniform(key[alive], np.full(len(alive), r), k) for k in (4, 5)]
+            edge, left, place = np.zeros(len(alive), np.int64), np.zeros(len(alive)), np.zeros(len(alive), np.int64)
+            rows = []
+            for k, known in enumerate(paths):
+                x = np.flatnonzero((made == k) & (step < 0))
+                if len(x):  # choose the step: the path's probability from the end falls past the drawn one there
+                    d, a, b = alive[x], low[x], high[x]
+                    inside = known.summed[b] - known.summed[a]
+                    aim = known.summed[b] - np.log1p(u[0][x] * np.expm1(inside))
+                    s = np.clip(np.searchsorted(-known.summed, -aim, "right") - 1, a, b - 1)
+                    rows += [(d, k, -1, a, s, left_out(known, d, a, s), g[x]), (d, k, -1, s + 1, b, left_out(known, d, s + 1, b), g[x])]
+                    step[x] = s
+                x2 = np.flatnonzero(made == k)
+                if len(x2):
+                    d, s = alive[x2], step[x2]
+                    taken = known.edge[s].astype(np.int64)
+                    fresh = np.isin(x2, x)
+                    # the edges at a step's node: those of the node's end place
+                    node = self._node_of(taken)
+                    f = np.where(fresh, t.first[node], low[x2])
+                    l = np.where(fresh, t.first[node + 1], high[x2])
+                    e = self._draw(f, l, taken, u[1][x2])
+                    right = known.right_of(d, s + 1)
+                    cuts = np.sort(np.stack([np.where(fresh, taken, e), e]), axis=0)
+                    for lo, hi in ((f, cuts[0]), (cuts[0] + 1, cuts[1]), (cuts[1] + 1, l)):
+                        some = np.flatnonzero(lo < hi)
+                        if len(some):
+                            _, _, p, first = self._shares(lo[some], hi[some], np.full(len(some), -1))
+                            with np.errstate(divide="ignore"):
+                                mass = right[some] + np.log(np.add.reduceat(p, first))
+                            rows.append((d[some], k, s[some], lo[some], hi[some], mass, g[x2][some]))
+                    edge[x2], left[x2], place[x2] = e, right + t.logp[e], known.place[s]
+            agenda = put(rows)
             # Steps to the right of the deviation stay; the deviating edge is taken; all to the left is sampled anew.
-            path = np.full(int(begin[-1]), -1)
-            stay = np.full(n, np.iinfo(np.int64).max)
-            stay[alive] = p
-            for k, old in enumerate(paths):
-                of_k = np.zeros(n, bool)
-                of_k[alive[made == k]] = True
-                same = np.flatnonzero(old >= 0)
-                same = same[of_k[doc_of[same]] & (same + 1 > stay[doc_of[same]])]
-                path[same] = old[same]
-            path[p - 1] = e
-            to = p - (t.end[e] - t.start[e])
+            path = np.full(int(begin[-1]), -1, np.int32)
+            for d, k, p in zip(alive.tolist(), made.tolist(), place.tolist()):
+                path[p : begin[d + 1]] = raw[k][p : begin[d + 1]]
+            path[place - 1] = edge
+            to = place - t.length[edge]
             prefix = np.zeros(n)
-            prefix[alive] = gx + t.logp[e]
+            prefix[alive] = left
             edge_of_stay = np.zeros(n, np.int64)
             edge_of_stay[alive] = to
-            inside = np.searchsorted(run, p - 1, "right")  # the chunk of the deviation
-            left = np.full(n, -1)
-            left[alive] = inside
-            whole = np.flatnonzero(np.arange(len(chunk)) < left[of])
+            inside = np.searchsorted(run, place - 1, "right")  # the chunk of the deviation
+            last = np.full(n, -1)
+            last[alive] = inside
+            whole = np.flatnonzero(np.arange(len(chunk)) < last[of])
+            who = np.concatenate([of[whole], alive])
             self.walk(
-                path, np.concatenate([base[whole] + size[whole], t.start[e]]), np.concatenate([run[whole], to]),
-                np.concatenate([base[whole], base[inside]]), key[np.concatenate([of[whole], alive])], begin[np.concatenate([of[whole], alive])], 100 + 2 * r,
+                path, np.concatenate([base[whole] + size[whole], base[inside] + to - (run[inside] - size[inside])]), np.concatenate([run[whole], to]),
+                np.concatenate([base[whole], base[inside]]), key[who], begin[who], 100 + 2 * r,
             )
         return [[(ids, lp, g, _inclusion(lp, where[d])) for ids, lp, g in out[d]] for d in range(n)]
 
-    def _emit(self, out, alive, piece, bounds, logp, where, texts, place) -> None:
+    def _node_of(self, edge: np.ndarray) -> np.ndarray:
+        """The node at which each edge ends."""
+        t = self.tables
+        return np.searchsorted(t.first[: t.nodes + 1], edge, "right") - 1
+
+    def _emit(self, out, alive, piece, bounds, logp, where, texts, place, begin) -> None:
         for d in alive.tolist():
             a, b = bounds[d], bounds[d + 1]
             own = piece[a:b]
             odd = np.flatnonzero(own < 0)
             if len(odd):
-                own = self._spelled(own, odd, place[a:b], texts[d])
+                own = self._spelled(own, odd, place[a:b] - begin[d], texts[d])
             out[d].append((own, float(min(logp[d], 0.0)), float(where[d])))
 
     def _spelled(self, piece: np.ndarray, odd: np.ndarray, end: np.ndarray, text: str) -> np.ndarray:
