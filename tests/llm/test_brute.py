@@ -140,10 +140,10 @@ def test_exact_passages_are_found(spark, docs, texts):
             runs.setdefault(tuple(w[j : j + 50]), set()).add(k)
     want = set().union(*(v for v in runs.values() if len(v) > 1), set())
     rows = passages.repeated_passages(docs).collect()
-    assert want <= {r.doc_a for r in rows} | {r.doc_b for r in rows}
+    assert want <= {r.doc_id for r in rows} == {r.other_doc_id for r in rows}
     tokens = {k: WORD.findall(t.lower()) for k, t in texts.items()}
     for r in rows:
-        a, b = tokens[r.doc_a][r.a_first : r.a_end], tokens[r.doc_b][r.b_first : r.b_end]
+        a, b = tokens[r.doc_id][r.first_word : r.end_word], tokens[r.other_doc_id][r.other_first_word : r.other_end_word]
         assert len(a) == len(b) >= 50
         same = [a[k : k + 8] == b[k : k + 8] for k in range(len(a) - 7)]
         assert np.mean(same) == pytest.approx(r.similarity, abs=1e-6) and r.similarity >= passages.SHARE
@@ -157,7 +157,7 @@ def test_edited_passages(spark):
         p = [rng.choice(words) for _ in range(120)]
         for j in range(2):
             rows.append((2 * k + j, " ".join([rng.choice(words) for _ in range(80)] + edited(rng, p, 0.03 * j, words) + [rng.choice(words) for _ in range(80)])))
-    found = {(r.doc_a, r.doc_b) for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    found = {(r.doc_id, r.other_doc_id) for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).where("doc_id < other_doc_id").collect()}
     assert all(a // 2 == b // 2 for a, b in found) and len(found) >= 45
 
 
@@ -173,7 +173,7 @@ def test_edited_copies_of_popular_passages(spark):
             if j >= 60 and passages.aligned_passages(value(p), value(copy), 0, 50, 8, passages.SHARE):
                 verifiable.add(len(rows))
             rows.append((len(rows), " ".join([rng.choice(words) for _ in range(60)] + copy + [rng.choice(words) for _ in range(60)])))
-    found = {(r.doc_a, r.doc_b) for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    found = {(r.doc_id, r.other_doc_id) for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).where("doc_id < other_doc_id").collect()}
     assert all(a // 70 == b // 70 for a, b in found)
     assert len(verifiable) > 40 and len(verifiable & {x for p in found for x in p}) >= 0.97 * len(verifiable)
     assert len(found) < 30 * len(rows)
@@ -189,7 +189,7 @@ def test_verbatim_passages_over_common_blocks(spark):
         for j in range(42):
             rows.append((len(rows), " ".join(draw(60) + shared + (rest if j >= 40 else []) + draw(60))))
         want.append((len(rows) - 2, len(rows) - 1))
-    found = {(r.doc_a, r.doc_b) for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    found = {(r.doc_id, r.other_doc_id) for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).where("doc_id < other_doc_id").collect()}
     assert set(want) <= found
 
 
@@ -327,39 +327,74 @@ def test_samples_do_not_depend_on_company(model):
 
 
 def test_gradient_and_learning(texts):
-    net = lm_score.Network(*(x.astype(np.float64) for x in lm_score.fresh_network(9)))
+    net = lm_score.Network(*(x.astype(np.float64) for x in lm_score.fresh_network(9, members=4, hidden=5)))
     r = np.random.default_rng(0)
     context, target = r.integers(0, 9, (40, 4)), r.integers(1, 9, 40)
     g = lm_score.loss_and_gradient(net, context, target)[1]
-    for x, d in zip(net, g):
-        at = tuple(r.integers(0, n) for n in x.shape)
-        old, sides = x[at], []
-        for e in (1e-5, -1e-5):
-            x[at] = old + e
-            sides.append(lm_score.loss_and_gradient(net, context, target)[0])
-        x[at] = old
-        assert (sides[0] - sides[1]) / 2e-5 == pytest.approx(d[at], abs=1e-6)
-    trainer = lm_score.Trainer(lm_score.fresh_network(9))
+    embed = np.zeros_like(net.embed)
+    for k, (cls, d) in enumerate(g.embed):
+        embed[k // 2, k % 2][cls] = d
+    for x, d in zip(net, [embed, *g[1:]]):
+        for _ in range(4):
+            at = tuple(r.integers(0, n) for n in x.shape)
+            old, sides = x[at], []
+            for e in (1e-5, -1e-5):
+                x[at] = old + e
+                sides.append(lm_score.loss_and_gradient(net, context, target)[0])
+            x[at] = old
+            assert old == lm_score._NEVER or (sides[0] - sides[1]) / 2e-5 == pytest.approx(d[at], abs=1e-6)
+    trainer = lm_score.Trainer(lm_score.fresh_network(9, members=4))
     target = context[:, 0] * 0 + 1 + (context[:, 2] > 4)
     losses = [trainer.step(context, target) for _ in range(150)]
     assert losses[-1] < 0.2 * losses[0]
 
 
-def test_pseudo_likelihood_by_hand(spark):
-    rows = spark.createDataFrame([(1, "a b a c"), (2, "b b")], "doc_id bigint, text string")
-    lex = lm_score.gather_lexicon(rows, 2, 8, 2)
-    net = lm_score.fresh_network(8)
-    batch = rows.toArrow().combine_chunks().to_batches()[0]
-    found = list(lm_score._score_rows(iter([batch]), lex, net))[0].to_pylist()
-    for row, text in zip(found, ("a b a c", "b b")):
-        words = find_words(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]))
-        cls, logp = lm_score.classify(lex, words.hash)
-        total = 0.0
-        for k in range(len(cls)):
-            at = lambda d, k=k: cls[k + d] if 0 <= k + d < len(cls) else 0
-            context = np.array([[at(-1), at(-2), at(1), at(2)]])
-            total += logp[k] - lm_score.loss_and_gradient(net, context, cls[k : k + 1])[0]
-        assert row["log_likelihood"] == pytest.approx(total, abs=1e-3) and row["words"] == len(cls)
+def class_probability(net, context, target):
+    """log P(target | context) by loops over every weight's formula."""
+    groups, wide, members = net.inner.shape
+    h = [float(np.tanh(net.embed[s, 0][context[2 * s]][j] + net.embed[s, 1][context[2 * s + 1]][j] + net.shift[s * wide // 2 + j])) for s in (0, 1) for j in range(wide // 2)]
+    soft = lambda z, k: z[k] - np.log(np.sum(np.exp(z)))
+    outer = [sum(h[j] * net.outer[j, g] for j in range(wide)) + net.outer_bias[g] for g in range(groups)]
+    g, m = divmod(target, members)
+    inner = [sum(h[j] * net.inner[g, j, k] for j in range(wide)) + net.inner_bias[g, k] for k in range(members)]
+    return soft(np.array(outer), g) + soft(np.array(inner), m)
+
+
+def test_pseudo_likelihoods_against_loops(spark, monkeypatch):
+    texts = {1: "a b a c rare", 2: "b b once", 3: "c a rare seldom b", 4: "", 5: "once"}
+    docs = spark.createDataFrame([*texts.items(), (2, texts[2]), (2, "other text of a seen id")], "doc_id bigint, text string").repartition(3)
+    net = lm_score.fresh_network(8, members=3, hidden=4)
+    monkeypatch.setattr(lm_score, "train", lambda *a, **k: net)
+    found = lm_score.pseudo_likelihoods(docs, vocabulary=3, classes=8, own=2, members=3).collect()
+    rows = [*texts.values(), texts[2], "other text of a seen id"]
+    split = [t.split() for t in rows]
+    hash_of = {w: int(find_words(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w)])).hash[0]) for t in split for w in t}
+    count = {w: sum(t.count(w) for t in split) for w in hash_of}
+    order = sorted(hash_of, key=lambda w: (-count[w], hash_of[w]))
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    cls = {w: 1 + order.index(w) if order.index(w) < 2 else 3 + signed(hash_of[w]) % 5 for w in hash_of}
+    mass = {c: sum(count[w] for w in hash_of if cls[w] == c) for c in cls.values()}
+    want = []
+    for t in split:
+        at = lambda k, t=t: cls[t[k]] if 0 <= k < len(t) else 0
+        want.append(sum(class_probability(net, [at(k - 1), at(k - 2), at(k + 1), at(k + 2)], cls[w]) + np.log(count[w] / mass[cls[w]]) for k, w in enumerate(t)))
+    assert sorted((r.words, r.log_likelihood) for r in found) == [(n, pytest.approx(x, abs=1e-3)) for n, x in sorted(zip(map(len, split), want))]
+    assert all(r.per_word == pytest.approx(r.log_likelihood / max(r.words, 1), abs=1e-4) for r in found)
+
+
+def test_training_raises_the_likelihood(spark):
+    r = random.Random(1)
+    pairs = [("sun", "shines"), ("rain", "falls"), ("wind", "blows")]
+    docs = spark.createDataFrame([(k, " ".join(w for _ in range(60) for w in r.choice(pairs))) for k in range(40)], "doc_id bigint, text string").repartition(3)
+    options = dict(vocabulary=100, classes=16, own=8, members=4)
+    mean = lambda rounds: lm_score.pseudo_likelihoods(docs, rounds=rounds, **options).agg(F.avg("per_word")).first()[0]
+    assert mean(0) < np.log(1 / 6) and mean(24) > -0.7  # half of the words are certain, the other half are one of three given a neighbour: -0.55
+
+
+def test_counts_of_all_words_are_known(spark):
+    docs = spark.createDataFrame([(k, f"common words and seldom{k // 2 if k < 40 else k}x") for k in range(80)], "doc_id bigint, text string")
+    found = {r.doc_id: r.log_likelihood for r in lm_score.pseudo_likelihoods(docs, vocabulary=3, classes=5, own=3, members=4).collect()}
+    assert min(found[k] for k in range(40)) - max(found[k] for k in range(40, 80)) == pytest.approx(np.log(2), abs=1e-3)
 
 
 def test_images_round_trip_and_resize():
@@ -420,7 +455,7 @@ def test_every_word_is_a_training_target(monkeypatch):
     seen, real = [], lm_score.contexts
     monkeypatch.setattr(lm_score, "contexts", lambda cls, first, at, doc: seen.extend(at.tolist()) or real(cls, first, at, doc))
     batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([" ".join("abcdefgh" * 50)])], names=["doc_id", "text"])
-    none = lm_score.lexicon(np.zeros(0, np.uint64), np.zeros(0, np.int64), 0, 0, lm_score.CLASSES, lm_score.OWN_CLASSES)
+    none = lm_score.lexicon(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(lm_score.CLASSES - 1 - lm_score.OWN_CLASSES), lm_score.CLASSES, lm_score.OWN_CLASSES)
     for k in range(lm_score.ROUNDS):
         list(lm_score._trained_rows(iter([batch]), none, lm_score.fresh_network(lm_score.CLASSES), lm_score.STRIDE, k, 0.01))
     assert sorted(seen) == list(range(400))

@@ -98,8 +98,8 @@ def test_sampling(odd, none):
 
 
 def test_passages(odd, none):
-    found = {(r.doc_a, r.doc_b) for r in passages.repeated_passages(odd).collect()}
-    assert found == {(1, 2)}
+    found = {(r.doc_id, r.other_doc_id) for r in passages.repeated_passages(odd).collect()}
+    assert found == {(1, 2), (2, 1)}
     assert passages.repeated_passages(none).count() == 0
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 from collections.abc import Iterator
 
@@ -41,6 +42,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner remove the shuffle files of stages that nothing refers to any more, as a cut one's; it acts on collected garbage only."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def as_documents(docs: DataFrame, id_col: str, text_col: str, lower: bool = True) -> DataFrame:
     """Exactly the columns ``doc_id BIGINT, text STRING``; a null text is the empty text.
 
