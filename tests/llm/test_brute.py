@@ -237,13 +237,75 @@ def test_bradley_terry_recovers_an_order():
     assert w[0] > -w[1] > 0 and abs(w[2]) < 0.2 * w[0]
 
 
-def test_automata_on_held_out_credentials():
-    models = secrets.learn(secrets.labelled_credentials())
-    held = secrets.labelled_credentials(40, seed=5)
-    named = [(secrets.scan([w.encode()], models) or [[None] * 4])[0][3] == name for name, w in held]
-    assert np.mean(named) > 0.96
-    plain = ["internationalization", "http://example.com/a/long/path/index.html", "g" * 40, "abcdefabcdefabcdefabcdefabcdefabcdefabcx", "9807915762804490", "a" * 300]
-    assert all(not secrets.scan([w.encode()], models) for w in plain)
+@pytest.fixture(scope="module")
+def automata():
+    return secrets.learn(secrets.labelled_credentials(150))
+
+
+def test_automata_on_held_out_credentials(automata):
+    named = []
+    for name, w in secrets.labelled_credentials(40, seed=5):
+        for text in (w, f'user/{w} "x"', f"<key>{w}</key>"):
+            named.append(any(text[a:b] == w and f == name for _, a, b, f, _ in secrets.scan([text.encode()], automata)))
+    assert np.mean(named) > 0.93
+    plain = ["internationalization", "http://example.com/a/long/path/index.html", "g" * 40, "abcdefabcdefabcdefabcdefabcdefabcdefabcx", "9807915762804490", "a" * 300, "a.b@mail.example.com", "password="]
+    assert all(not secrets.scan([w.encode()], automata) for w in plain)
+
+
+def test_scanner_against_all_candidates(automata):
+    rng = random.Random(2)
+    held = [w for _, w in secrets.labelled_credentials(6, seed=9)]
+    apart = set(secrets._SEPARATORS.decode())
+    token = lambda c: c.isascii() and (c.isalnum() or c in apart)
+    for _ in range(12):
+        text = "".join(rng.choice([*held, " ", "\n", "-", "=", "a/b.", "é", "deadbeef", "AKIA", ":"]) for _ in range(8))
+        want, reached, k = [], 0, 0
+        while k < len(text):
+            starts = token(text[k]) and (k == 0 or not token(text[k - 1]) or (text[k - 1] in apart and text[k] not in apart))
+            found = []
+            if starts and k >= reached:
+                end = next((j for j in range(k, len(text)) if not token(text[j])), len(text))
+                for j in range(k + 1, end + 1):
+                    if j == end or text[j] in apart or text[j - 1] in apart:
+                        for n, (name, m) in enumerate(automata.items()):
+                            score = secrets.likelihoods([text[k:j].encode()], m)[0]
+                            if j - k >= m.shortest and score >= m.least:
+                                found.append((-(j - k), m.least - score, n, name, score))
+            if found:
+                length, _, _, name, score = min(found)
+                want.append((len(text[:k].encode()), len(text[: k - length].encode()), name, pytest.approx(score)))
+                reached = k - length
+            k += 1
+        got = [(a, b, name, s) for _, a, b, name, s in secrets.scan([text.encode()], automata)]
+        assert got == want
+
+
+def test_merged_states_make_loops_and_a_distribution():
+    rng = random.Random(3)
+    words = sorted("x" + "".join(rng.choice("ab") for _ in range(rng.randrange(1, 14))) + "y" for _ in range(400))
+    model = secrets.automaton([w.encode() for w in words], slack=1.0)
+    assert len(model.step) <= 6 and np.isfinite(secrets.likelihoods([b"x" + b"ab" * 20 + b"y"], model)[0])
+    assert not np.isfinite(secrets.likelihoods([b"xab", b"aby", b"xcy", b"y"], model)).any()
+    mass, total = {0: 1.0}, 0.0
+    for _ in range(400):  # strings of every length together have probability 1
+        ahead: dict[int, float] = {}
+        for state, p in mass.items():
+            total += p * np.exp(model.logp[state, secrets._END])
+            for c in range(secrets._END):
+                if model.step[state, c] >= 0:
+                    ahead[model.step[state, c]] = ahead.get(model.step[state, c], 0) + p * np.exp(model.logp[state, c])
+        mass = ahead
+    assert total == pytest.approx(1, abs=1e-6)
+    fixed = secrets.automaton([("".join(rng.choice("01") for _ in range(9))).encode() for _ in range(200)])
+    assert np.isfinite(secrets.likelihoods([b"010101010"], fixed)[0]) and not np.isfinite(secrets.likelihoods([b"01010101", b"0101010101"], fixed)).any()
+
+
+def test_planted_secrets_are_found(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = {(r.doc_id, r.length) for r in secrets.find_secrets(docs).collect()}
+    rows = duckdb.sql("SELECT doc_id, text FROM '/root/testdata/sf0.01/documents.parquet'").fetchall()
+    planted = {d for d, t in rows if re.search(r'"([0-9a-f]{40}|[0-9A-F]{40})"', t)}
+    assert planted and {(d, 40) for d in planted} == found
 
 
 def test_likelihood_is_the_path_product():

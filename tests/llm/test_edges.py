@@ -73,6 +73,12 @@ def test_secrets(spark, odd, none):
     assert sorted((r.doc_id or 0, r.start, r.length, r.format) for r in found) == [(0, 0, 40, "hex_token_40"), (1, 11, 40, "hex_token_40"), (4, 0, 40, "hex_token_40"), (4, 41, 40, "hex_token_40")]
     masked = {r.doc_id: r.text for r in secrets.mask_secrets(docs).collect()}
     assert masked[1] == 'é token = "[hex_token_40]" end' and masked[4] == "[hex_token_40] [hex_token_40]" and masked[2] is None and masked[3] == ""
+    table = spark.createDataFrame([("z", "pin-" + "1234567890"[k:] + "1234567890"[:k]) for k in range(10)] + [(None, "x" * 20), ("z", None), ("z", ""), ("z", "pin-1234567890")], "format string, credential string").withColumn("doc_id", F.lit(1))
+    own = spark.createDataFrame([(1, "is pin-4567890123!"), (2, key)], "doc_id bigint, text string")
+    assert [(r.doc_id, r.start, r.length, r.format) for r in secrets.find_secrets(own, labelled=table).collect()] == [(1, 3, 14, "z")]
+    assert secrets.find_secrets(own, labelled=table.limit(0)).count() == 0 and secrets.mask_secrets(own, labelled=[]).count() == 2
+    twins = [(name, "0" * 20) for name in ("b", "a")]  # equal margins: the first name
+    assert [r.format for r in secrets.find_secrets(spark.createDataFrame([(1, "0" * 20)], "doc_id bigint, text string"), labelled=twins).collect()] == ["a"]
     same = secrets.mask_secrets(odd)
     assert same.columns == odd.columns and same.count() == len(ROWS)
     longer = secrets.mask_secrets(docs.withColumn("n_chars", F.length("text"))).where("doc_id = 4").first()
