@@ -211,23 +211,55 @@ def test_compact_windows_against_all_nodes():
         assert set(zip(*(x.tolist() for x in passages.compact_windows(value, first, salt, width)))) == want
 
 
-def test_quality_held_out():
-    rows = duckdb.sql("SELECT text, quality = 1 AND toxic = 0 FROM '/root/testdata/sf0.1/documents.parquet' JOIN '/root/testdata/sf0.1/labels.parquet' USING (doc_id) ORDER BY doc_id").fetchall()
-    good = np.array([g for _, g in rows])
-    owns, shares, styles, parts = [], [], [], []
-    for a, b, words, term, style in quality._read(pa.array([t for t, _ in rows], pa.large_string())):
-        parts.append((a, b, words, term, style))
-        for k in range(b - a):
-            own, n = np.unique(term[:, words.first[k] : words.first[k + 1]], return_counts=True)
-            owns.append(own)
-            shares.append(np.sqrt(n / max(1, words.first[k + 1] - words.first[k])).astype(np.float32))
-            styles.append(style[k])
-    train = np.arange(len(good)) % 2 == 0
-    pick = lambda x: [v for v, t in zip(x, train) if t]
-    scorer = quality.Scorer(quality.fit(good[train], pick(owns), pick(shares), np.array(pick(styles))))
-    score = np.concatenate([scorer(words, term, style) for _, _, words, term, style in parts])
-    limit = np.quantile(score[train], 1 - good[train].mean())
-    assert (score[~train & good] >= limit).mean() > 0.97 and (score[~train & ~good] < limit).mean() > 0.9
+def test_quality_held_out(spark):
+    """A model of every second label, threshold included, against the other labels."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    known = {r.doc_id: (r.quality == 1 and r.toxic == 0, r.toxic == 1) for r in labels.where("doc_id % 2 = 1").collect()}
+    kept = {r.doc_id: r.kept for r in quality.judged(docs.join(labels.select("doc_id"), "doc_id"), labels.where("doc_id % 2 = 0")).collect()}
+    share = lambda wanted: np.mean([kept[d] for d, x in known.items() if wanted(x)])
+    print(share(lambda x: x[0]), share(lambda x: not x[0]), share(lambda x: x[1]))
+    assert share(lambda x: x[0]) > 0.97 and share(lambda x: not x[0]) < 0.2 and share(lambda x: x[1]) < 0.35
+
+
+def test_threshold_against_all_cuts():
+    rng = random.Random(5)
+    for _ in range(60):
+        n = rng.randrange(1, 30)
+        score = np.array([rng.choice([0.0, 0.5, 1.0, rng.random()]) for _ in range(n)])
+        good = np.array([rng.random() < s for s in score])
+        cuts = sorted(set(score.tolist())) + [2.0]
+        wrong = [sum((s < c) == g for s, g in zip(score, good)) for c in cuts]
+        best = cuts[int(np.argmin(wrong))]
+        level = quality.best_level(score, good)
+        assert level == np.mean(score < best)
+        assert ((score < quality.quantile_limit(score, level)) == (score < best)).all()
+
+
+def test_significant_terms_against_loops(spark):
+    rng = random.Random(7)
+    rows = []
+    for k in range(120):
+        part = k % 2
+        rows.append((part, " ".join([rng.choice(["alpha", "beta", "gamma"]) for _ in range(20)] + (["awful", "terrific"[: 4 + k % 5]] if part == 0 and rng.random() < 0.8 else []))))
+    sample = spark.createDataFrame(rows, "part int, text string").repartition(3)
+    found = quality.significant_terms(sample, 60, 60, 4.0)
+    shares: dict[int, dict[int, float]] = {}
+    for k, (_, text) in enumerate(rows):
+        for _, _, words, terms, _ in quality._read(pa.array([text])):
+            for of in terms:
+                for t, n in zip(*np.unique(of, return_counts=True)):
+                    shares.setdefault(int(t), {})[k] = (n / 20 if len(text.split()) == 20 else n / len(text.split())) ** 0.5
+    want = set()
+    for t, of in shares.items():
+        groups = [[of.get(j, 0.0) for j, (p, _) in enumerate(rows) if p == g] for g in (0, 1)]
+        if sum(x > 0 for g in groups for x in g) >= quality.MIN_SEEN:
+            tests = []
+            for floor, f in ((1e-7, lambda x: x), (1e-3, lambda x: float(x > 0))):
+                (m, v), (m2, v2) = [(np.mean([f(x) for x in g]), (np.var([f(x) for x in g]) + floor) / len(g)) for g in groups]
+                tests.append(abs(m - m2) / (v + v2) ** 0.5)
+            if max(tests) >= 4:
+                want.add(t)
+    assert want == set(found.tolist()) and want
 
 
 def test_bradley_terry_recovers_an_order():
