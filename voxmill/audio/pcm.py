@@ -9,7 +9,7 @@ import numpy as np
 RATE = 16_000
 
 
-def decode_wav(content: bytes) -> "tuple[np.ndarray, int]":
+def decode_wav(content: bytes) -> tuple[np.ndarray, int]:
     """(float32 mono samples between -1 and 1, rate) of a RIFF file with integer PCM of 8 to 32 bits or floats; channels are averaged."""
     if content[:4] != b"RIFF" or content[8:12] != b"WAVE":
         raise ValueError("not a WAV file")

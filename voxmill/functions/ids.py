@@ -7,18 +7,18 @@ from pyspark.sql import functions as F
 
 from .text import strip
 
-def _word(before: str, least: int, most: int) -> str:
-    """A whole word of a prefix and so many digits."""
-    return rf"\b{before}\d{{{least},{most}}}\b"
 
-
-_NUMBER = r"\d{3,6}"
 #: In order of preference: S-numbers, id-numbers, spoken-for names, pairs of numbers, then any number of 3 to 6 digits.
 SPEAKER_PATTERNS = (
-    *(_word(x, 3, 6) for x in ("S", "id")), *(_word(x + "[_-]?", 1, 6) for x in ("spk(?:er|r)?", "speaker")), rf"\b{_NUMBER}[_-]{_NUMBER}\b", rf"(?<!\d){_NUMBER}(?!\d)",
-)
-SPLITS = ("dev", "train", "test")
-CORPUS_SPLITS = (*(f"{a}-{b}" for a in SPLITS if a != "train" for b in ("clean", "other")), *(f"train-{b}" for b in ("clean-100", "clean-360", "other-500")))
+    r"\bS\d{3,6}\b",
+    r"\bid\d{3,6}\b",
+    r"\bspk(?:er|r)?[_-]?\d{1,6}\b",
+    r"\bspeaker[_-]?\d{1,6}\b",
+    r"\b\d{3,6}[_-]\d{3,6}\b",
+    r"(?<!\d)\d{3,6}(?!\d)",
+)
+SPLITS = ("train", "dev", "test")
+CORPUS_SPLITS = ("dev-clean", "dev-other", "test-clean", "test-other", "train-clean-100", "train-clean-360", "train-other-500")
 
 
 def segment_id(audio_id: Column, ordinal: Column) -> Column:

@@ -6,21 +6,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SAMPLE_RATE = 16_000
-_KINDS = ("ovr", "bak", "sig")
-#: By profile the constant, linear and quadratic coefficients of the three kinds of scores.
-_TERMS = {
-    "batch": (
-        {"ovr": 0.8924546794696789354, "sig": 0.9651228012789436761, "bak": -3.733460011101781717},
-        {"ovr": 0.6609981731940616223, "sig": 0.6592637550310214145, "bak": 2.700114234092929166},
-        {"ovr": 0.07600269530243179694, "sig": 0.07572372955623894730, "bak": -0.1721332907340922813},
-    ),
-    "pipeline": (
-        {"ovr": 0.8924547, "sig": 0.9651228, "bak": -3.73346},
-        {"ovr": 0.6609982, "sig": 0.6592638, "bak": 2.700114},
-        {"ovr": 0.0760027, "sig": 0.07572373, "bak": -0.1721333},
-    ),
+#: Of each kind of score the constant, linear and quadratic coefficient, by profile.
+CALIBRATION = {
+    "batch": {
+        "ovr": (0.8924546794696789, 0.6609981731940616, 0.0760026953024318),
+        "sig": (0.9651228012789437, 0.6592637550310214, 0.07572372955623895),
+        "bak": (-3.7334600111017817, 2.700114234092929, -0.17213329073409228),
+    },
+    "pipeline": {
+        "ovr": (0.8924547, 0.6609982, 0.0760027),
+        "sig": (0.9651228, 0.6592638, 0.07572373),
+        "bak": (-3.73346, 2.700114, -0.1721333),
+    },
 }
-CALIBRATION = {profile: {kind: tuple(t[kind] for t in terms) for kind in _KINDS} for profile, terms in _TERMS.items()}
 
 
 def calibrate(raw: Column, kind: str, profile: str = "batch") -> Column:

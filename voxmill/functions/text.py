@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: ASCII marks, then dashes, brackets and full-width marks by code point.
-PUNCTUATION = '!"\'(),.:;?[]' + "—…、。《》【】！（），：；？"
+#: The marks that transcripts lose.
+PUNCTUATION = "!\"'(),.:;?[]—…、。《》【】！（），：；？"
 #: White space of Unicode and the four ASCII separators, as the body of a character class that Java and RE2 read alike.
 SPACES = r"\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 _NUMBER = r"^[+-]?([0-9]+(_[0-9]+)*\.?([0-9]+(_[0-9]+)*)?|\.[0-9]+(_[0-9]+)*)([eE][+-]?[0-9]+)?$"
@@ -39,7 +39,7 @@ def sanitize_id(name: Column, most: int = 80) -> Column:
 
 def strip_special_tokens(text: Column) -> Column:
     """The text without ``<|...|>`` marks, trimmed."""
-    return strip(F.regexp_replace(text, r"[<][|][^|]+[|][>]", ""))
+    return strip(F.regexp_replace(text, r"<\|[^|]+\|>", ""))
 
 
 def tag_name(tag: Column) -> Column:

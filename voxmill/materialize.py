@@ -23,6 +23,12 @@ def shared_folder(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is such a file or folder, on whatever file system the path names."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

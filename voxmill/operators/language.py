@@ -19,10 +19,14 @@ def language_hit(lang: Column, targets: list[str]) -> Column:
 
 
 def probe_longest(segments: DataFrame, audio: str, duration: str, order: str) -> DataFrame:
-    """The longest segment of each recording, of equals the first; a missing duration is 0."""
-    rank = F.struct(F.coalesce(F.col(duration), F.lit(0)).alias("d"), (-F.col(order)).alias("o"))
-    row = F.struct(*(c for c in segments.columns if c != audio))
-    return segments.groupBy(audio).agg(F.max_by(row, rank).alias("r")).select(audio, "r.*")
+    """The longest segment of each recording, of equals the first; a missing duration is 0. ``order`` tells a recording's segments apart.
+
+    Two hashed aggregates of narrow columns find the segment's place, by which its row is joined.
+    """
+    narrow = segments.select(audio, F.col(order).alias("__o"), F.coalesce(F.col(duration), F.lit(0)).alias("__d"))
+    most = narrow.groupBy(audio).agg(F.max("__d").alias("__d"))
+    place = narrow.join(most, [audio, "__d"]).groupBy(audio).agg(F.min("__o").alias(order))
+    return segments.join(place, [audio, order], "left_semi")
 
 
 def lid_decision(segments: DataFrame, targets: list[str], min_prob: float = 0.90, lang: str = "lang", prob: str = "lang_prob", status: str = "status") -> DataFrame:
@@ -38,17 +42,18 @@ def lid_decision(segments: DataFrame, targets: list[str], min_prob: float = 0.90
 def gate_by_first(segments: DataFrame, audio: str, order: str, targets: list[str], min_prob: float = 0.90, usable: Column | None = None) -> DataFrame:
     """Keeps the segments of recordings whose first usable segment is in a target language (none given: any) with enough probability.
 
-    The probe's language and probability replace the segments' own. The probe is
-    an aggregate of one row a recording joined back, so a recording with very many
-    segments is no single window.
+    The probe's language and probability replace the segments' own. The probe's
+    place is a hashed aggregate of one row a recording, joined back, so a recording with
+    very many segments is no single window; ``order`` tells a recording's segments apart.
     """
     probes = segments if usable is None else segments.where(usable)
-    probe = probes.groupBy(audio).agg(F.min_by(F.struct("lang", "lang_prob"), order).alias("__p"))
-    rows = segments.drop("lang", "lang_prob").join(probe, audio)
-    keep = F.col("__p.lang_prob") >= min_prob
+    place = probes.groupBy(audio).agg(F.min(order).alias(order))
+    keep = F.col("lang_prob") >= min_prob
     if targets:
-        keep &= F.col("__p.lang").isin(*targets)
-    return rows.where(keep).select(*(c for c in rows.columns if c != "__p"), "__p.lang", "__p.lang_prob")
+        keep &= F.col("lang").isin(*targets)
+    probe = probes.join(place, [audio, order], "left_semi").where(keep).select(audio, "lang", "lang_prob")
+    rows = segments.drop("lang", "lang_prob").join(probe, audio)
+    return rows.select(*(c for c in segments.columns if c not in ("lang", "lang_prob")), "lang", "lang_prob")
 
 
 def keep_ratio(decided: DataFrame, reason: str = "lang_keep_reason") -> DataFrame:

@@ -2,14 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numbers import millis
+from ..materialize import exists
 
 
-def last_of(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One row for each key: the last in the given order."""
+_WHOLE = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
+
+
+def last_of(rows: DataFrame, keys: list[str], order: list[str], unique: bool = False) -> DataFrame:
+    """One row for each key: the last in the given order.
+
+    If the order tells all rows of a key apart (``unique``) and is of one or two whole
+    nonnegative numbers, it is packed into one, whose maximum is hashed and joined
+    back, so that wide rows are neither sorted nor aggregated.
+    """
+    kinds = dict(rows.dtypes)
+    if unique and len(order) <= 2 and all(kinds[c] in _WHOLE for c in order):
+        packed = F.col(order[0]).cast("decimal(38,0)")
+        for c in order[1:]:
+            packed = (packed * F.expr("10000000000000000000BD") + F.col(c)).cast("decimal(38,0)")
+        held = rows.withColumn("__at", packed)
+        return held.join(held.groupBy(*keys).agg(F.max("__at").alias("__at")), [*keys, "__at"]).select(*keys, *(c for c in rows.columns if c not in keys))
     row = F.struct(*(c for c in rows.columns if c not in keys))
     return rows.groupBy(*keys).agg(F.max_by(row, F.struct(*order)).alias("r")).select(*keys, "r.*")
 
@@ -17,21 +33,32 @@ def last_of(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 def merge_scores(expected: DataFrame, scores: DataFrame, order: list[str], sort: bool = True) -> DataFrame:
     """Scores in the order of the expected segments; a repeated segment has the last file's score, one without scores is left out.
 
-    ``expected`` has seg_id and what to sort by, ``scores`` seg_id and the columns ``order`` of file and line.
+    ``expected`` has seg_id and what to sort by, ``scores`` seg_id and the columns
+    ``order`` of file and line, which together tell all rows apart.
     """
-    last = last_of(scores, ["seg_id"], order).drop(*order)
+    last = last_of(scores, ["seg_id"], order, unique=True).drop(*order)
     out = expected.join(last, "seg_id")
     return out.orderBy("audio_id", "seg_idx") if sort else out
 
 
-def merge_transcripts(expected: DataFrame, results: DataFrame, order: list[str]) -> DataFrame:
+def merge_counts(expected: DataFrame, scores: DataFrame) -> DataFrame:
+    """(expected, written, missing, duplicates) of a score merge: segments without scores, and score rows beyond one a segment."""
+    each = scores.groupBy("seg_id").agg(F.count("*").alias("__n"))
+    rows = expected.select("seg_id").join(each, "seg_id", "left").agg(F.count("*").alias("expected"), F.count("__n").alias("written"))
+    again = each.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("bigint").alias("duplicates"))
+    return rows.crossJoin(F.broadcast(again)).select("expected", "written", (F.col("expected") - F.col("written")).alias("missing"), "duplicates")
+
+
+def merge_transcripts(expected: DataFrame, results: DataFrame, order: list[str], unique: bool = False) -> DataFrame:
     """Every expected segment with its text; without a result the text is empty and the error says so; repeated results: the last counts.
 
+    ``unique`` says that ``order`` tells all results of a segment apart.
+
     Segments match on recording, times in whole milliseconds and segment id.
     """
     key = {"__s": millis(F.col("start_sec")), "__e": millis(F.col("end_sec")), "__id": F.trim(F.col("seg_id"))}
     keys = ["audio_id", *key]
-    found = last_of(results.withColumns(key).select(*keys, "text", "error", *order), keys, order).drop(*order).withColumn("__hit", F.lit(True))
+    found = last_of(results.withColumns(key).select(*keys, "text", "error", *order), keys, order, unique).drop(*order).withColumn("__hit", F.lit(True))
     out = expected.withColumns(key).join(found, keys, "left")
     missing = F.col("__hit").isNull()
     return out.withColumns({"text": F.coalesce("text", F.lit("")), "error": F.when(missing, F.lit("missing_from_shards")).otherwise(F.col("error"))}).drop("__hit", *key)
@@ -48,16 +75,53 @@ def look_aside(rows: DataFrame, cache: DataFrame, key: str, compute) -> tuple[Da
     return known.unionByName(made.withColumn("status", F.lit("computed"))), made
 
 
+class CacheTable:
+    """A cache kept in a folder: each upsert adds one batch, and of a key's rows those of the last batch count.
+
+    A batch is complete with its success mark; one that was broken off is written again.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, key: str, schema: str):
+        self.spark, self.folder, self.key, self.schema = spark, folder.rstrip("/"), key, schema
+
+    def _next(self) -> int:
+        k = 0
+        while exists(self.spark, f"{self.folder}/batch={k}/_SUCCESS"):
+            k += 1
+        return k
+
+    def read(self) -> DataFrame:
+        """One row for each key."""
+        n = self._next()
+        if not n:
+            return self.spark.createDataFrame([], self.schema)
+        rows = None
+        for k in range(n):
+            batch = self.spark.read.schema(self.schema).parquet(f"{self.folder}/batch={k}")
+            rows = batch if rows is None else rows.join(batch.select(self.key), self.key, "left_anti").unionByName(batch)
+        return rows
+
+    def upsert(self, new: DataFrame) -> None:
+        """Rows of known keys replace them; ``new`` has one row for each key."""
+        new.write.mode("overwrite").parquet(f"{self.folder}/batch={self._next()}")
+
+    def compact(self) -> None:
+        """Puts all rows into the last batch."""
+        self.upsert(self.read())
+
+
 def remaining(rows: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not done."""
     return rows.join(done.select(key), key, "left_anti")
 
 
-def resume_union(done: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """Earlier and new results, one for each key, the earlier one first."""
-    both = done.withColumn("__new", F.lit(0)).unionByName(new.withColumn("__new", F.lit(1)), allowMissingColumns=True)
-    row = F.struct(*(c for c in both.columns if c not in (key, "__new")))
-    return both.groupBy(key).agg(F.min_by(row, F.struct("__new", F.xxhash64(row))).alias("r")).select(key, "r.*")
+def resume_union(done: DataFrame, new: DataFrame, key: str, repeated: bool = True) -> DataFrame:
+    """Earlier and new results, one for each key, the earlier one first.
+
+    ``repeated`` says whether a key may repeat within a side; where it may not, the rows are joined by key only.
+    """
+    first = lambda rows: last_of(rows.withColumn("__h", F.xxhash64(F.struct(*rows.columns))), [key], ["__h"]).drop("__h") if repeated else rows
+    return first(done).unionByName(first(remaining(new, done, key)), allowMissingColumns=True)
 
 
 def contiguous_shard(row: Column, total: int, shards: int) -> Column:

@@ -38,12 +38,12 @@ def hops(n: Column, window_sec: int = WINDOW_SEC, rate: int = RATE) -> Column:
     return F.greatest(F.floor(n / rate) - window_sec + 1, F.lit(1)).cast("bigint")
 
 
-def window_plan(segments: DataFrame, padding: str = "double") -> DataFrame:
-    """One row for each window of each segment: (seg_id, hop, first_sample, end_sample) in the padded samples."""
+def window_plan(segments: DataFrame, padding: str = "double", keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row for each window of each segment: (seg_id, hop, first_sample, end_sample) in the padded samples, and the columns ``keep``."""
     n = padded_samples((F.col("duration_sec") * RATE).cast("bigint"), padding)
     rows = segments.withColumn("__n", n).where("__n > 0")
-    rows = rows.select("seg_id", F.explode(F.sequence(F.lit(0).cast("bigint"), hops(F.col("__n")) - 1)).alias("hop"))
-    return rows.select("seg_id", "hop", (F.col("hop") * RATE).alias("first_sample"), ((F.col("hop") + WINDOW_SEC) * RATE).alias("end_sample"))
+    rows = rows.select("seg_id", *keep, F.explode(F.sequence(F.lit(0).cast("bigint"), hops(F.col("__n")) - 1)).alias("hop"))
+    return rows.select("seg_id", *keep, "hop", (F.col("hop") * RATE).alias("first_sample"), ((F.col("hop") + WINDOW_SEC) * RATE).alias("end_sample"))
 
 
 def window_mean(scores: DataFrame, key: str, cols: list[str]) -> DataFrame:

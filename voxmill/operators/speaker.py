@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import cosine, l2_normalize, norm
+from ..functions.text import sanitize_id
 
 
 def centroids(rows: DataFrame, key: str, vector: str = "embedding") -> DataFrame:
@@ -59,17 +60,25 @@ def greedy_labels(vectors: np.ndarray, least: float) -> list[int]:
     return out
 
 
-def greedy_clusters(rows: DataFrame, file: str, order: str, vector: str = "embedding", least: float = 0.74, prefix: str = "AUTO") -> DataFrame:
-    """(file, order, spk_final): online clustering of each file's vectors in order; it depends on the order, so a file is one group."""
+def greedy_clusters(rows: DataFrame, file: str, order: str, speaker: str | None = None, vector: str = "embedding", least: float = 0.74, prefix: str = "AUTO", unknown: str = "UNKNOWN") -> DataFrame:
+    """(file, order, spk_final): online clustering of each file's vectors of unknown speakers, in order; it depends on the order, so a file is one group.
+
+    Rows with another name in ``speaker`` keep it, and unknown ones without a vector
+    stay unknown; without that column all are unknown. Clusters are named by
+    prefix, the file's name made safe and a number.
+    """
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order, kind="stable")
         labels = greedy_labels(np.array([np.asarray(v, np.float64) for v in pdf[vector]]), least)
-        return pd.DataFrame({file: pdf[file], order: pdf[order], "spk_final": [f"{prefix}_{f}_p{k:03d}" for f, k in zip(pdf[file], labels)]})
+        return pd.DataFrame({file: pdf[file], order: pdf[order], "spk_final": [f"{f}_p{k:03d}" for f, k in zip(pdf["__name"], labels)]})
 
     kinds = dict(rows.dtypes)
-    known = rows.where(F.col(vector).isNotNull()).select(file, order, vector)
-    return known.groupBy(file).applyInPandas(one, f"{file} {kinds[file]}, {order} {kinds[order]}, spk_final string")
+    name = F.col(speaker) if speaker else F.lit(unknown)
+    open_ = name.eqNullSafe(F.lit(unknown)) & F.col(vector).isNotNull()
+    named = F.concat(F.lit(f"{prefix}_"), sanitize_id(F.col(file).cast("string")))
+    found = rows.where(open_).select(file, order, vector, named.alias("__name")).groupBy(file).applyInPandas(one, f"{file} {kinds[file]}, {order} {kinds[order]}, spk_final string")
+    return found.unionByName(rows.where(~open_).select(file, order, name.alias("spk_final")))
 
 
 __all__ = ["centroids", "cosine", "decisions", "greedy_clusters", "greedy_labels", "norm", "similarities"]

@@ -20,8 +20,9 @@ _SQL: dict[str, str] = {}
 FLOORS = quality.QualityFloors(min_dur=3, max_dur=30, min_ovr=2.5, min_sig=2.0, min_bak=2.0)
 QUANTILE = quality.QualityFloors(min_dur=3, max_dur=30, min_sig=2.0, min_bak=2.0, keep_quantile=0.7)
 GATE = training.TrainGate(targets=("en", "fr"), min_lang_prob=0.5, min_ovr=1.5)
-PUNCTUATION = text.PUNCTUATION.replace("'", "''")
-SPACES = text.SPACES
+#: White space and listed marks as RE2 character classes, written out for the SQL.
+SPACES = r"\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+MARKS = r"[!\"''(),.:;?\[\]—…、。《》【】！（），：；？]"
 
 
 def plan(sql: str | None = None) -> Callable[[Query], Query]:
@@ -125,20 +126,15 @@ def dnsmos_window_plan(spark, sf_dir):
   SELECT seg_id, count(*) AS windows, round(avg(m), 6) AS mean_milli FROM w GROUP BY seg_id""")
 def mos_window_mean(spark, sf_dir):
     rows = proxies.segments(spark, sf_dir)
-    plan_ = quality.window_plan(rows, "tile").join(rows.select("seg_id", numbers.millis(F.col("mos_ovr")).alias("m")), "seg_id")
-    scores = plan_.withColumn("m", (F.col("m") + 37 * F.col("hop")) % 4001)
-    return scores.groupBy("seg_id").agg(F.count("*").alias("windows"), F.round(F.avg("m"), 6).alias("mean_milli"))
+    windows = quality.window_plan(rows.withColumn("m", numbers.millis(F.col("mos_ovr"))), "tile", keep=("m",))
+    scores = windows.withColumn("m", (F.col("m") + 37 * F.col("hop")) % 4001)
+    counted = quality.window_mean(scores.withColumn("windows", F.lit(1)), "seg_id", ["m"]).join(scores.groupBy("seg_id").agg(F.count("*").alias("windows")), "seg_id")
+    return counted.select("seg_id", "windows", F.round("m", 6).alias("mean_milli"))
 
 
-_SIG = numbers.CALIBRATION["batch"]
-
-
-def _poly(kind: str, x: str) -> str:
-    a, b, c = _SIG[kind]
-    return f"round({a!r}::DOUBLE + {b!r}::DOUBLE * {x} + {c!r}::DOUBLE * {x} * {x}, 6)"
-
-
-@plan(f"WITH {SEGMENTS} SELECT seg_id, {_poly('sig', 'mos_sig')} AS sig, {_poly('bak', 'mos_bak')} AS bak, {_poly('ovr', 'mos_ovr')} AS ovr FROM segments")
+@plan(f"""WITH {SEGMENTS} SELECT seg_id, round(0.9651228012789437::DOUBLE + 0.6592637550310214::DOUBLE * mos_sig + 0.07572372955623895::DOUBLE * mos_sig * mos_sig, 6) AS sig,
+  round(-3.7334600111017817::DOUBLE + 2.700114234092929::DOUBLE * mos_bak - 0.17213329073409228::DOUBLE * mos_bak * mos_bak, 6) AS bak,
+  round(0.8924546794696789::DOUBLE + 0.6609981731940616::DOUBLE * mos_ovr + 0.0760026953024318::DOUBLE * mos_ovr * mos_ovr, 6) AS ovr FROM segments""")
 def mos_calibrate(spark, sf_dir):
     return proxies.segments(spark, sf_dir).select("seg_id", *(F.round(numbers.calibrate(F.col(f"mos_{k}"), k), 6).alias(k) for k in ("sig", "bak", "ovr")))
 
@@ -232,31 +228,55 @@ def speaker_decision(spark, sf_dir):
     return speaker.decisions(_similar(spark, sf_dir), F.col("vec_id") % 40 / F.lit(4.0), F.col("embedding"), min_file=0.3).select("vec_id", "keep_reason")
 
 
-@plan()
+_RAW_SPEAKER = "CASE WHEN label % 4 = 0 THEN 'S' || label ELSE 'UNKNOWN' END"
+_UNIT = "list_transform({v}, lambda e: e / (sqrt(list_sum(list_transform({v}, lambda y: y * y))) + 1e-12))"
+
+
+@plan(f"""WITH RECURSIVE e AS (SELECT vec_id, vec_id % 50 AS file_id, {_RAW_SPEAKER} AS spk, list_transform(embedding, lambda x: x::DOUBLE) AS d FROM embeddings),
+  u AS (SELECT file_id, vec_id, row_number() OVER (PARTITION BY file_id ORDER BY vec_id) AS n, {_UNIT.format(v='d')} AS v FROM e WHERE spk = 'UNKNOWN'),
+  g AS (SELECT file_id, vec_id, n, [v] AS held, 1::BIGINT AS k FROM u WHERE n = 1 UNION ALL
+    SELECT file_id, vec_id, n, CASE WHEN hit THEN list_transform(held, lambda c, i: CASE WHEN i = best THEN {_UNIT.format(v='moved')} ELSE c END) ELSE list_append(held, v) END,
+      CASE WHEN hit THEN best ELSE len(held) + 1 END FROM (
+      SELECT *, list_max(sims) >= 0.74 AS hit, list_position(sims, list_max(sims))::BIGINT AS best, list_transform(list_zip(held[list_position(sims, list_max(sims))], v), lambda z: z[1] + z[2]) AS moved FROM (
+        SELECT u.*, g.held, list_transform(g.held, lambda c: list_dot_product(c, u.v)) AS sims FROM g JOIN u ON u.file_id = g.file_id AND u.n = g.n + 1)))
+  SELECT file_id, vec_id, 'AUTO_' || file_id || '_p' || printf('%03d', k - 1) AS spk_final FROM g UNION ALL SELECT file_id, vec_id, spk FROM e WHERE spk <> 'UNKNOWN'""")
 def speaker_greedy_cluster(spark, sf_dir):
-    return speaker.greedy_clusters(_voices(spark, sf_dir), "file_id", "vec_id")
+    rows = _voices(spark, sf_dir).withColumn("spk", F.expr(_RAW_SPEAKER))
+    return speaker.greedy_clusters(rows, "file_id", "vec_id", "spk")
 
 
 # Merging and resuming
 
 
+def _score_files(rows):
+    first = rows.where("seg_idx % 5 <> 0").select("seg_id", "mos_ovr", F.lit(0).alias("file"), F.col("seg_idx").alias("line"))
+    second = rows.where("seg_idx % 2 = 0").select("seg_id", (F.col("mos_ovr") + 1).alias("mos_ovr"), F.lit(1).alias("file"), F.col("seg_idx").alias("line"))
+    return first.unionByName(second)
+
+
+@plan(f"""WITH {SEGMENTS}, scores AS (SELECT seg_id FROM segments WHERE seg_idx % 5 <> 0 UNION ALL SELECT seg_id FROM segments WHERE seg_idx % 2 = 0)
+  SELECT (SELECT count(*) FROM segments) AS expected, (SELECT count(*) FROM segments SEMI JOIN scores USING (seg_id)) AS written, (SELECT count(*) FROM segments ANTI JOIN scores USING (seg_id)) AS missing,
+    (SELECT count(*) - count(DISTINCT seg_id) FROM scores) AS duplicates""")
+def merge_score_counts(spark, sf_dir):
+    rows = proxies.segments(spark, sf_dir)
+    return merge.merge_counts(rows, _score_files(rows))
+
+
 @plan(f"""WITH {SEGMENTS}, scores AS (SELECT seg_id, mos_ovr, 0 AS file FROM segments WHERE seg_idx % 5 <> 0 UNION ALL SELECT seg_id, mos_ovr + 1, 1 FROM segments WHERE seg_idx % 2 = 0),
   last AS (SELECT seg_id, mos_ovr FROM scores QUALIFY row_number() OVER (PARTITION BY seg_id ORDER BY file DESC) = 1)
   SELECT s.seg_id, s.audio_id, s.seg_idx, CAST(round(last.mos_ovr * 1000) AS BIGINT) AS mos_milli FROM segments s JOIN last USING (seg_id) ORDER BY audio_id, seg_idx""")
 def merge_scores_in_order(spark, sf_dir):
     rows = proxies.segments(spark, sf_dir)
-    first = rows.where("seg_idx % 5 <> 0").select("seg_id", "mos_ovr", F.lit(0).alias("file"), F.col("seg_idx").alias("line"))
-    second = rows.where("seg_idx % 2 = 0").select("seg_id", (F.col("mos_ovr") + 1).alias("mos_ovr"), F.lit(1).alias("file"), F.col("seg_idx").alias("line"))
-    out = merge.merge_scores(rows.select("seg_id", "audio_id", "seg_idx"), first.unionByName(second), ["file", "line"])
+    out = merge.merge_scores(rows.select("seg_id", "audio_id", "seg_idx"), _score_files(rows), ["file", "line"])
     return out.select("seg_id", "audio_id", "seg_idx", numbers.millis(F.col("mos_ovr")).alias("mos_milli"))
 
 
 @plan(f"""WITH {SEGMENTS} SELECT seg_id, audio_id, CASE WHEN seg_idx % 4 = 0 THEN '' ELSE 't' || seg_idx END AS text, CASE WHEN seg_idx % 4 = 0 THEN 'missing_from_shards' END AS error FROM segments""")
 def merge_asr_shards(spark, sf_dir):
     rows = proxies.segments(spark, sf_dir)
-    some = rows.where("seg_idx % 4 <> 0").select("audio_id", "seg_id", "start_sec", "end_sec", F.concat(F.lit("t"), F.col("seg_idx").cast("string")).alias("text"), F.lit(None).cast("string").alias("error"), F.lit(1).alias("file"))
-    again = some.where("seg_idx % 3 = 0" if "seg_idx" in some.columns else "true").withColumns({"text": F.lit("older"), "file": F.lit(0)})
-    out = merge.merge_transcripts(rows.select("seg_id", "audio_id", "start_sec", "end_sec"), some.unionByName(again), ["file"])
+    some = rows.where("seg_idx % 4 <> 0").select("audio_id", "seg_id", "start_sec", "end_sec", F.concat(F.lit("t"), F.col("seg_idx").cast("string")).alias("text"), F.lit(None).cast("string").alias("error"), F.lit(1).alias("file"), F.col("seg_idx").alias("line"))
+    again = some.where("line % 3 = 0").withColumns({"text": F.lit("older"), "file": F.lit(0)})
+    out = merge.merge_transcripts(rows.select("seg_id", "audio_id", "start_sec", "end_sec"), some.unionByName(again), ["file", "line"], unique=True)
     return out.select("seg_id", "audio_id", "text", "error")
 
 
@@ -274,7 +294,7 @@ def resume_anti_join(spark, sf_dir):
 @plan("""SELECT doc_id, CAST(quality AS BIGINT) AS value FROM labels UNION ALL SELECT doc_id, n_chars FROM documents ANTI JOIN labels USING (doc_id)""")
 def resume_union(spark, sf_dir):
     done = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("bigint").alias("value"))
-    return merge.resume_union(done, table(spark, sf_dir, "documents").select("doc_id", F.col("n_chars").alias("value")), "doc_id")
+    return merge.resume_union(done, table(spark, sf_dir, "documents").select("doc_id", F.col("n_chars").alias("value")), "doc_id", repeated=False)
 
 
 @plan("""SELECT path, doc_id FROM (SELECT '/corpus/' || source || '/' || doc_id || '.wav' AS path, doc_id FROM documents) ORDER BY path LIMIT 100""")
@@ -306,8 +326,7 @@ def file_index_slice(spark, sf_dir):
 
 # Training tables
 
-_SQL_SPACES = SPACES
-_SQL_NORM = f"trim(regexp_replace(lower(regexp_replace(coalesce(text, ''), '[{PUNCTUATION.replace('[', chr(92) + '[').replace(']', chr(92) + ']').replace('-', chr(92) + '-')}]', '', 'g')), '[{_SQL_SPACES}]+', ' ', 'g'))"
+_SQL_NORM = f"trim(regexp_replace(lower(regexp_replace(coalesce(text, ''), '{MARKS}', '', 'g')), '[{SPACES}]+', ' ', 'g'))"
 _REASON = f"""CASE WHEN {_SQL_NORM} = '' THEN 'no_text' WHEN coalesce(wav, '') = '' THEN 'no_wav' WHEN duration_sec < 1 OR duration_sec > 30 THEN 'duration'
   WHEN lang_prob < 0.5 OR coalesce(lang, '') NOT IN ('en', 'fr') THEN 'language' WHEN coalesce(mos_ovr < 1.5, false) THEN 'mos' ELSE 'keep' END"""
 
@@ -353,6 +372,25 @@ def char_vocab(spark, sf_dir):
     return training.char_vocab(_split(spark, sf_dir, "text").where("split = 'train'"), "text", "doc_id")
 
 
+@plan("""SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN text WHEN doc_id % 3 = 1 THEN 'said ' || doc_id ELSE text END AS text, CASE WHEN doc_id % 2 = 0 THEN n_chars / 10.0::DOUBLE ELSE n_chars / 100.0::DOUBLE END AS duration_sec,
+  CASE WHEN doc_id % 5 = 0 THEN 'xx' ELSE coalesce(lang, '') END AS lang, CASE WHEN doc_id % 2 = 0 THEN 'w' || doc_id ELSE 'k' || doc_id END AS key, CASE WHEN doc_id % 7 = 0 THEN '/t.tar' ELSE source END AS source_path,
+  '/x.wav' AS wav, NULL::DOUBLE AS lang_prob, NULL::DOUBLE AS mos_ovr, NULL::DOUBLE AS mos_sig, NULL::DOUBLE AS mos_bak FROM documents""")
+def label_items(spark, sf_dir):
+    d, odd = table(spark, sf_dir, "documents"), F.col("doc_id") % 2 == 1
+    said = F.create_map(F.lit("m1"), F.lit(""), F.lit("m2"), F.when(F.col("doc_id") % 3 == 1, F.concat(F.lit("said "), F.col("doc_id").cast("string"))).otherwise(F.lit("")))
+    labels = d.select(
+        "doc_id", "text", "lang", F.when(F.col("doc_id") % 3 != 0, said).alias("transcribe"), F.when(odd, F.lit(0.0)).otherwise(F.col("n_chars") / F.lit(10.0)).alias("duration"),
+        (F.col("n_chars") / F.lit(100.0)).alias("duration_sec"), F.when(F.col("doc_id") % 5 == 0, "xx").otherwise("").alias("text_lang"), F.when(~odd, F.concat(F.lit("w"), F.col("doc_id").cast("string"))).alias("wav_uuid"),
+        F.concat(F.lit("k"), F.col("doc_id").cast("string")).alias("key"), F.when(F.col("doc_id") % 7 == 0, "/t.tar").alias("tar_path"), F.col("source").alias("source_path"), F.lit("/x.wav").alias("wav"),
+    )
+    return training.label_items(labels).drop("transcribe", "duration", "text_lang", "wav_uuid", "tar_path")
+
+
+@plan()
+def shuffled_split(spark, sf_dir):
+    return training.shuffled_split(table(spark, sf_dir, "documents").select("doc_id"), [F.col("doc_id")])
+
+
 # Labels
 
 
@@ -398,19 +436,23 @@ def safe_name(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", text.safe_name(F.col("url")).alias("squeezed"), text.safe_name(F.col("url"), squeeze=False).alias("plain"))
 
 
-@plan("SELECT page_id, left(regexp_replace(trim(url), '[^A-Za-z0-9_.-]+', '_', 'g'), 30) AS name FROM pages")
+@plan("SELECT page_id, left(regexp_replace(trim(left(html, 200)), '[^A-Za-z0-9_.-]+', '_', 'g'), 80) AS name FROM pages")
 def sanitize_id(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", text.sanitize_id(F.col("url"), 30).alias("name"))
+    return table(spark, sf_dir, "pages").select("page_id", text.sanitize_id(F.left("html", F.lit(200))).alias("name"))
 
 
-_AUDIO = "CASE p_partkey % 6 WHEN 0 THEN 'S' || (100 + p_partkey % 900) || '-x' WHEN 1 THEN 'a id' || (1000 + p_partkey % 9000) WHEN 2 THEN 'spk_' || p_partkey % 99 WHEN 3 THEN '' WHEN 4 THEN '12' ELSE 'clip' END"
-_PATH = "CASE p_partkey % 6 WHEN 3 THEN '/c/train/bob/x.wav' WHEN 4 THEN '/c/a' || (100 + p_partkey % 900) || 'b/x.wav' WHEN 5 THEN '/c/dev-clean/ann/x.wav' ELSE '/c/y.wav' END"
+_AUDIO = """CASE p_partkey % 9 WHEN 0 THEN 'S' || p_size || p_partkey || '-x' WHEN 1 THEN 'a id' || (p_partkey * 37) WHEN 2 THEN 'Spk_' || p_size WHEN 3 THEN '' WHEN 4 THEN p_size || ''
+  WHEN 5 THEN p_name WHEN 6 THEN 'speaker-' || p_partkey || ' take' WHEN 7 THEN (p_partkey * 13) || '_' || (p_size * 101) ELSE 'x' || (p_partkey * 7) || 'y' END"""
+_PATH = """CASE p_partkey % 4 WHEN 0 THEN '/c/train/' || p_type || '/x.wav' WHEN 1 THEN '/c/a' || (p_partkey * 3) || 'b/S' || p_size || '/x.wav' WHEN 2 THEN '/c/dev-clean/' || p_brand || '/' || p_partkey || '.wav' ELSE '/c/y.wav' END"""
+_SPEAKER = r"""coalesce(nullif(regexp_extract({x}, '\bS[0-9]{{3,6}}\b'), ''), nullif(regexp_extract({x}, '\bid[0-9]{{3,6}}\b'), ''), nullif(regexp_extract({x}, '\bspk(?:er|r)?[_-]?[0-9]{{1,6}}\b'), ''),
+  nullif(regexp_extract({x}, '\bspeaker[_-]?[0-9]{{1,6}}\b'), ''), nullif(regexp_extract({x}, '\b[0-9]{{3,6}}[_-][0-9]{{3,6}}\b'), ''), nullif(regexp_extract({x}, '(?:^|[^0-9])([0-9]{{3,6}})(?:[^0-9]|$)', 1), ''))"""
+_BELOW = "list_filter(list_transform(range(1, len(parts)), lambda k: CASE WHEN parts[k] IN ({names}) THEN parts[k + 1] END), lambda v: v IS NOT NULL)[1]"
 
 
-@plan(f"""WITH a AS (SELECT p_partkey, {_AUDIO} AS audio_id, {_PATH} AS path FROM part)
-  SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN regexp_extract(audio_id, '\\bS[0-9]{{3,6}}\\b') WHEN 1 THEN regexp_extract(audio_id, '\\bid[0-9]{{3,6}}\\b') WHEN 2 THEN regexp_extract(audio_id, '\\bspk(?:er|r)?[_-]?[0-9]{{1,6}}\\b')
-    WHEN 3 THEN 'bob' WHEN 4 THEN regexp_extract(path, '(?:^|[^0-9])([0-9]{{3,6}})(?:[^0-9]|$)', 1) ELSE 'ann' END AS speaker,
-    CASE WHEN audio_id = '' THEN 'x' ELSE audio_id END AS file_id FROM a""")
+@plan(f"""WITH a AS (SELECT p_partkey, {_AUDIO} AS audio_id, {_PATH} AS path FROM part), b AS (SELECT *, list_filter(string_split(path, '/'), lambda v: v NOT IN ('', '.')) AS parts FROM a)
+  SELECT p_partkey, coalesce({_SPEAKER.format(x='audio_id')}, list_filter(list_transform(list_reverse(parts), lambda v: {_SPEAKER.format(x='v')}), lambda v: v IS NOT NULL)[1],
+    {_BELOW.format(names="'train', 'dev', 'test'")}, {_BELOW.format(names="'dev-clean', 'dev-other', 'test-clean', 'test-other', 'train-clean-100', 'train-clean-360', 'train-other-500'")}, 'UNKNOWN') AS speaker,
+    CASE WHEN trim(audio_id) <> '' THEN trim(audio_id) ELSE regexp_replace(parts[len(parts)], '[.][^.]*$', '') END AS file_id FROM b""")
 def parse_spk_id(spark, sf_dir):
     rows = table(spark, sf_dir, "part").selectExpr("p_partkey", f"{_AUDIO} AS audio_id", f"{_PATH} AS path")
     return rows.select("p_partkey", ids.parse_speaker(F.col("audio_id"), F.col("path")).alias("speaker"), ids.file_id(F.col("audio_id"), F.col("path")).alias("file_id"))
@@ -428,10 +470,12 @@ def round_times(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", F.round(v, 3).alias("r3"), F.round(v, 4).alias("r4"), numbers.millis(v).alias("ms"), numbers.samples(v).alias("frames"))
 
 
-_RAW = "CASE event_id % 8 WHEN 0 THEN '' WHEN 1 THEN 'nan' WHEN 2 THEN 'abc' WHEN 3 THEN '3d' WHEN 4 THEN '1_0' WHEN 5 THEN ' ' || event_id || '.5 ' WHEN 6 THEN '-2e3' END"
+_RAW = """CASE event_id % 12 WHEN 0 THEN '' WHEN 1 THEN 'nan' WHEN 2 THEN event_type WHEN 3 THEN user_id || 'd' WHEN 4 THEN user_id || '_' || event_id WHEN 5 THEN ' ' || event_id || '.5 '
+  WHEN 6 THEN '-' || user_id || 'e' || (event_id % 9) WHEN 7 THEN '+.' || event_id WHEN 8 THEN user_id || '.' WHEN 9 THEN user_id || '__' || event_id WHEN 10 THEN '1e-' || (event_id % 300) END"""
+_FLOAT = r"""CASE WHEN regexp_full_match(trim(raw), '[+-]?([0-9]+(_[0-9]+)*[.]?([0-9]+(_[0-9]+)*)?|[.][0-9]+(_[0-9]+)*)([eE][+-]?[0-9]+)?') THEN TRY_CAST(replace(trim(raw), '_', '') AS DOUBLE) END"""
 
 
-@plan(f"WITH r AS (SELECT event_id, {_RAW} AS raw FROM events) SELECT event_id, CASE event_id % 8 WHEN 4 THEN 10.0 WHEN 5 THEN event_id + 0.5 WHEN 6 THEN -2000.0 END::DOUBLE AS value, coalesce(CASE event_id % 8 WHEN 4 THEN 10.0 WHEN 5 THEN event_id + 0.5 WHEN 6 THEN -2000.0 END, 0)::DOUBLE AS filled FROM r")
+@plan(f"WITH r AS (SELECT event_id, {_RAW} AS raw FROM events) SELECT event_id, {_FLOAT} AS value, coalesce({_FLOAT}, 0) AS filled FROM r")
 def parse_float(spark, sf_dir):
     rows = table(spark, sf_dir, "events").selectExpr("event_id", f"{_RAW} AS raw")
     return rows.select("event_id", text.parse_float(F.col("raw")).alias("value"), text.parse_float(F.col("raw"), 0.0).alias("filled"))
@@ -448,9 +492,10 @@ def decode_budget(spark, sf_dir):
     return proxies.segments(spark, sf_dir).groupBy("audio_id").agg(numbers.decode_budget(F.max("duration_sec")).alias("budget"))
 
 
-_MESSAGE = "CASE event_id % 5 WHEN 0 THEN 'CUDA out of memory' WHEN 1 THEN 'Out Of Memory: x' WHEN 2 THEN 'cuda: no memory left' WHEN 3 THEN 'bad header' END"
+_MESSAGE = """CASE WHEN event_id % 11 = 0 THEN NULL ELSE CASE user_id % 4 WHEN 0 THEN 'CUDA' WHEN 1 THEN 'Torch.Cuda' WHEN 2 THEN 'host' ELSE 'cud' END || ' ' || event_type || ' '
+  || CASE event_id % 5 WHEN 0 THEN 'Out Of Memory' WHEN 1 THEN 'no MEMORY left' WHEN 2 THEN 'out of  memory' WHEN 3 THEN 'bad header' ELSE '' END END"""
 
 
-@plan("SELECT event_id, CASE WHEN event_id % 5 IN (0, 1, 2) THEN 'asr_failed:oom' WHEN event_id % 5 = 3 THEN 'asr_failed:asr_error' END AS error FROM events")
+@plan(f"""WITH m AS (SELECT event_id, {_MESSAGE} AS m FROM events) SELECT event_id, CASE WHEN m IS NULL THEN NULL WHEN m ILIKE '%out of memory%' OR m ILIKE '%cuda%' AND m ILIKE '%memory%' THEN 'asr_failed:oom' ELSE 'asr_failed:asr_error' END AS error FROM m""")
 def error_class(spark, sf_dir):
     return table(spark, sf_dir, "events").selectExpr("event_id", f"{_MESSAGE} AS m").select("event_id", text.error_class(F.col("m")).alias("error"))

@@ -10,11 +10,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .materialize import exists
+
 
 def write_json_array(df: DataFrame, path: str) -> int:
     """One file with a pretty JSON array in the table's order, nulls left out; rows stream through the driver one partition at a time."""
     n = 0
-    with Path(path).open(mode="w", encoding="utf-8") as f:
+    with open(path, "w", encoding="utf-8") as f:
         f.write("[")
         for line in df.select(F.to_json(F.struct(*df.columns))).toLocalIterator():
             f.write(("," if n else "") + "\n  " + json.dumps(json.loads(line[0]), ensure_ascii=False))
@@ -40,8 +42,7 @@ def write_both(df: DataFrame, keep: Column, all_path: str, kept_path: str, mode:
 
 def write_once(df: DataFrame, path: str, force: bool = False) -> DataFrame:
     """A stage's output, not written again where a complete one exists, unless forced; a folder without its success mark is incomplete."""
-    done = Path(path.removeprefix("file://"), "_SUCCESS").exists()
-    if force or not done:
+    if force or not exists(df.sparkSession, f"{path.rstrip('/')}/_SUCCESS"):
         df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 

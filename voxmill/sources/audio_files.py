@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import struct
 import subprocess
 from collections.abc import Iterator
 
@@ -44,10 +45,8 @@ def decoded(files: DataFrame, keep: list[str], content: str = "content") -> Data
                 try:
                     x = resample(*decode_wav(batch.column(len(keep))[k].as_py() or b""))
                     out = [x.astype("<f4").tobytes(), len(x) / 16_000, len(x), None]
-                except (ValueError, IndexError, ArithmeticError, OSError) as e:
+                except (ValueError, IndexError, ArithmeticError, OSError, struct.error) as e:
                     out = [None, None, None, str(e) or type(e).__name__]
-                except Exception as e:  # struct.error of a cut-off header
-                    out = [None, None, None, type(e).__name__]
                 cols = [batch.column(c).slice(k, 1) for c in range(len(keep))]
                 more = [pa.array([v], t) for v, t in zip(out, (pa.binary(), pa.float64(), pa.int64(), pa.string()))]
                 yield pa.RecordBatch.from_arrays(cols + more, names=[*keep, "pcm", "duration_sec", "num_sample", "error"])
