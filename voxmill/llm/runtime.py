@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,6 +43,25 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def store(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` written once as a Parquet table in the shared checkpoint folder, smaller than a checkpoint, and the table's place."""
+    spark = df.sparkSession
+    place = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(place)
+    return spark.read.parquet(place), place
+
+
+def discard(spark: SparkSession, place: str) -> None:
+    """Deletes a stored table that nothing will read any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def tasks(spark: SparkSession) -> int:
+    """The number of shuffle partitions; given to ``repartition`` it keeps small but costly partitions from being merged."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark's cleaner remove the shuffle files of stages that nothing refers to any more, as a cut one's; it acts on collected garbage only."""
     gc.collect()
