@@ -32,11 +32,23 @@ class Index(NamedTuple):
     first: np.ndarray  # of each item in code and weight
     code: np.ndarray  # number of each item's shingles in ``known``
     known: np.ndarray  # sorted hashes of all items' shingles
-    weight: np.ndarray  # of each known shingle
-    unknown: float  # weight of any other shingle
+    weight: np.ndarray  # of each cell of shingle hashes
     member: np.ndarray  # filter over known
 
 
+def cells(value: np.ndarray) -> np.ndarray:
+    """The cell of each shingle hash in the tables of weights and of known shingles, both of fixed size."""
+    return (value >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)
+
+
+def weights(items: int, having: np.ndarray) -> np.ndarray:
+    """uint16: the weight of each cell, ln(1 + items / items that have a shingle of it) in 1/1024 steps; of a cell that no item has as of one.
+
+    Weights are those of the whole benchmark, in however many parts it is searched.
+    """
+    return np.round(np.log1p(items / np.maximum(having, 1)) * 1024).astype(np.uint16)
+
+
 def signs(value: np.ndarray) -> np.ndarray:
     """int8 (n, 64) of +1 and -1: the bits of each hash."""
     bits = (value[:, None] >> _SIGN_BITS) & np.uint64(1)
@@ -54,8 +66,8 @@ def blocks(radius: int) -> list[tuple[int, int]]:
     return [(int(a), int(b - a)) for a, b in zip(cuts, cuts[1:])]
 
 
-def build_index(item_id: np.ndarray, texts: list[str], q: int) -> Index | None:
-    """None if no item has a word. The weight of a shingle is ln(1 + items / items that have it), in 1/1024 steps."""
+def build_index(item_id: np.ndarray, texts: list[str], q: int, weight: np.ndarray | None = None) -> Index | None:
+    """None if no item has a word. Without ``weight`` the items are the whole benchmark."""
     column = pa.array(texts, pa.large_string())
     values, sizes, ids, at = [], [], [], 0
     for a, b, data, offsets in text_chunks(column):
@@ -72,16 +84,17 @@ def build_index(item_id: np.ndarray, texts: list[str], q: int) -> Index | None:
     n = len(ids)
     order = np.lexsort((ids, sizes))
     values = [values[k] for k in order]
-    seen = np.concatenate([np.unique(v) for v in values])
-    known, having = np.unique(seen, return_counts=True)
-    weight = np.round(np.log1p(n / having) * 1024)
+    known = np.unique(np.concatenate(values))
+    if weight is None:
+        weight = weights(n, np.bincount(np.concatenate([np.unique(cells(v)) for v in values]), minlength=1 << _FILTER_BITS))
+    of_known = weight[cells(known)].astype(np.float64)
     first = np.concatenate([[0], np.cumsum([len(v) for v in values])])
     code = np.searchsorted(known, np.concatenate(values))
-    fingerprint = np.array([pack((signs(known[c]) * weight[c][:, None]).sum(axis=0)[None])[0] for c in np.split(code, first[1:-1])], np.uint64)
+    fingerprint = np.array([pack((signs(known[c]) * of_known[c][:, None]).sum(axis=0)[None])[0] for c in np.split(code, first[1:-1])], np.uint64)
     member = np.zeros(1 << _FILTER_BITS, bool)
-    member[(known >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
-    total = np.add.reduceat(weight[code], first[:-1])
-    return Index(np.array(ids)[order], np.array(sizes)[order], fingerprint, total, first, code, known, weight, float(np.round(np.log1p(n) * 1024)), member)
+    member[cells(known)] = True
+    total = np.add.reduceat(of_known[code], first[:-1])
+    return Index(np.array(ids)[order], np.array(sizes)[order], fingerprint, total, first, code, known, weight, member)
 
 
 def weighted_jaccard(code_a: np.ndarray, weight_a: np.ndarray, code_b: np.ndarray, weight_b: np.ndarray) -> float:
@@ -96,7 +109,7 @@ def weighted_jaccard(code_a: np.ndarray, weight_a: np.ndarray, code_b: np.ndarra
 def lookup(index: Index, value: np.ndarray) -> np.ndarray:
     """The number of each hash among the known shingles, or -1."""
     code = np.full(len(value), -1, np.int64)
-    maybe = np.flatnonzero(index.member[(value >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
+    maybe = np.flatnonzero(index.member[cells(value)])
     if len(maybe):
         k = np.minimum(np.searchsorted(index.known, value[maybe]), len(index.known) - 1)
         hit = index.known[k] == value[maybe]
@@ -169,7 +182,7 @@ class Searcher:
         low = min(int(x[0]) for _, x in windows)
         high = max(int(x[-1]) + max(1, int(self.sizes[k]) - q + 1) for k, x in windows)
         value, code = value[low:high], code[low:high]
-        weight = np.where(code >= 0, index.weight[code], index.unknown)
+        weight = index.weight[cells(value)].astype(np.float64)
         summed = np.zeros((len(value) + 1, 64))
         np.cumsum(signs(value) * weight[:, None], axis=0, out=summed[1:])
         codes = np.where(code >= 0, code, len(index.known) + np.unique(value, return_inverse=True)[1])
@@ -182,7 +195,7 @@ class Searcher:
             for w, item, distance in zip(*(x.tolist() for x in self.candidates(size[at : at + _WINDOW_CELLS // 64], prints))):
                 s, e = int(some[w]), int(some[w] + span[w])
                 c = index.code[index.first[item] : index.first[item + 1]]
-                like = weighted_jaccard(codes[s:e], weight[s:e], c, index.weight[c])
+                like = weighted_jaccard(codes[s:e], weight[s:e], c, index.weight[cells(index.known[c])].astype(np.float64))
                 if like >= self.threshold - 1e-9 and (item not in best or (-like, s + low) < (-best[item][0], best[item][1])):
                     best[item] = (like, s + low, distance)
         return [(item, s, distance, like) for item, (like, s, distance) in best.items()]
@@ -199,7 +212,7 @@ class Searcher:
                 if not (code >= 0).any():
                     continue
                 counts = np.diff(words.first)
-                have = np.concatenate([[0.0], np.cumsum(np.where(code >= 0, index.weight[code], 0.0))])
+                have = np.concatenate([[0.0], np.cumsum(np.where(code >= 0, index.weight[cells(value)].astype(np.float64), 0.0))])
                 doc = np.repeat(np.arange(len(counts)), np.diff(first))
                 room = first[1:][doc] - np.arange(len(value))
                 by_doc: dict[int, list[tuple[int, np.ndarray]]] = {}
@@ -224,9 +237,27 @@ class Searcher:
 _SCHEMA = "doc_id bigint, item_id bigint, first_word int, n_words int, hamming int, similarity double"
 
 
-def _parts(benchmark: DataFrame, id_col: str, text_col: str, limit: int) -> Iterator[tuple[list[int], list[str]]]:
+def _cell_rows(batches: Iterator[pa.RecordBatch], q: int) -> Iterator[pa.RecordBatch]:
+    """(cell, n): the items of a batch with words that have a shingle of each cell; -1: all of them."""
+    for batch in batches:
+        for a, b, data, offsets in text_chunks(batch.column(1)):
+            value, _, first = shingles(find_words(data, offsets), q)
+            own = [np.unique(cells(value[first[k] : first[k + 1]])) for k in range(b - a) if first[k + 1] > first[k]]
+            cell, n = np.unique(np.concatenate([np.full(len(own), -1), *own]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(n)], names=["cell", "n"])
+
+
+def benchmark_weights(items: DataFrame, q: int) -> np.ndarray:
+    """The weights of the cells over all items; the driver gets one number a cell at most."""
+    found = items.mapInArrow(lambda it: _cell_rows(it, q), "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    cell, n = found.column("cell").to_numpy(), found.column("n").to_numpy()
+    having = np.zeros(1 << _FILTER_BITS, np.int64)
+    having[cell[cell >= 0]] = n[cell >= 0]
+    return weights(int(n[cell < 0].sum()), having)
+
+
+def _parts(items: DataFrame, limit: int) -> Iterator[tuple[list[int], list[str]]]:
     """The items in runs of about ``limit`` bytes, streamed to the driver one partition at a time."""
-    items = as_documents(benchmark, id_col, text_col).dropDuplicates(["doc_id", "text"])
     ids: list[int] = []
     texts: list[str] = []
     held = 0
@@ -264,16 +295,19 @@ def find_leaks(
     matches only a document that consists of it.
 
     The index is sent to all executors; its size is bounded by ``part_bytes`` of
-    benchmark text, and a larger benchmark is searched in several such parts
-    (shingle weights are then those within a part). Null texts are empty and
+    benchmark text, and a larger benchmark is searched in several such parts, which
+    changes no result: the weights of shingles are those of the whole benchmark, in a
+    table of fixed size that is sent along. Null texts are empty and
     never match; rows without an id are left out; a repeated document yields its
     rows again; an empty table gives no row; other columns are ignored.
     """
     spark = docs.sparkSession
     rows = as_documents(docs, id_col, text_col)
+    items = as_documents(benchmark, item_id_col, item_text_col).dropDuplicates(["doc_id", "text"])
+    weight = benchmark_weights(items, shingle)
     out = None
-    for ids, texts in _parts(benchmark, item_id_col, item_text_col, part_bytes):
-        index = build_index(np.array(ids, np.int64), texts, shingle)
+    for ids, texts in _parts(items, part_bytes):
+        index = build_index(np.array(ids, np.int64), texts, shingle, weight)
         if index is None:
             continue
         sent = spark.sparkContext.broadcast(index)
@@ -283,7 +317,11 @@ def find_leaks(
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item; rows with a null id are kept."""
+    """The rows of ``docs`` that hold no benchmark item; rows with a null id, null and empty texts are kept.
+
+    Of a repeated id all rows go if one holds an item; ties are as in ``find_leaks``; an
+    empty table stays one, and all columns stay, whatever their names.
+    """
     found = cut(find_leaks(docs, benchmark, id_col, text_col, **options).select("doc_id").distinct())
     return without_ids(docs, found, id_col)
 

@@ -16,7 +16,7 @@ SIDE = 32
 TILE = 16
 WIDTH = 64
 _TOKEN = re.compile(rb"(?:\s|#[^\n]*\n)*([0-9]+)")
-_MAX_PIXELS = 1 << 28
+_BAND = 256
 
 
 def _header(data: bytes, at: int, n: int) -> tuple[list[int], int]:
@@ -44,7 +44,7 @@ def decode_netpbm(data: bytes) -> np.ndarray:
     bitmap, colour, plain = kind in b"14", kind in b"36", kind in b"123"
     head, at = _header(data, 2, 2 if bitmap else 3)
     w, h = head[:2]
-    if not w or not h or w * h > _MAX_PIXELS:
+    if not w or not h:
         raise ValueError("bad size")
     shape = (h, w, 3) if colour else (h, w)
     n = w * h * (3 if colour else 1)
@@ -68,7 +68,7 @@ def decode_bmp(data: bytes) -> np.ndarray:
     if data[:2] != b"BM":
         raise ValueError("not BMP")
     offset, size, w, h, _, bits, packing = struct.unpack_from("<I I i i H H I", data, 10)
-    if w <= 0 or h == 0 or abs(h) * w > _MAX_PIXELS or packing or bits not in (1, 4, 8, 24, 32):
+    if w <= 0 or h == 0 or packing or bits not in (1, 4, 8, 24, 32):
         raise ValueError("unsupported BMP")
     row = (w * bits + 31) // 32 * 4
     raw = np.frombuffer(data, np.uint8, row * abs(h), offset).reshape(abs(h), row)
@@ -117,22 +117,28 @@ def area_resize(image: np.ndarray, height: int, width: int) -> np.ndarray:
 
     Between whole pixels the integral image is linear in each direction, so
     fractional areas are exact as well; sizes may grow or shrink.
+    The image is read in bands of rows, so the integral image of a large one is never held at once.
     """
     h, w = image.shape[:2]
-    total = np.zeros((h + 1, w + 1, *image.shape[2:]))
-    np.cumsum(np.cumsum(image, axis=0, dtype=np.float64), axis=1, out=total[1:, 1:])
 
-    def along(a: np.ndarray, n: int, m: int) -> np.ndarray:
+    def along(total: np.ndarray, n: int, m: int) -> np.ndarray:
+        """Differences of running sums (n + 1, ...) at m + 1 evenly spaced places, fractions included."""
         num = np.arange(m + 1) * n
         low = np.minimum(num // m, n - 1)
-        share = ((num - low * m) / m).reshape(-1, *[1] * (a.ndim - 1))
-        at = a[low]
-        at = at + (a[low + 1] - at) * share
+        share = ((num - low * m) / m).reshape(-1, *[1] * (total.ndim - 1))
+        at = total[low]
+        at = at + (total[low + 1] - at) * share
         return at[1:] - at[:-1]
 
-    rows = along(total, h, height)
-    cells = along(np.swapaxes(rows, 0, 1), w, width)
-    return np.swapaxes(cells, 0, 1) / (h * w / (height * width))
+    def running(x: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(x) + 1, *x.shape[1:]))
+        np.cumsum(x, axis=0, dtype=np.float64, out=out[1:])
+        return out
+
+    bands = [along(running(np.swapaxes(image[y : y + _BAND], 0, 1)), w, width) for y in range(0, h, _BAND)]
+    columns = np.concatenate(bands, axis=1)  # (width, h, ...): sums over the new columns
+    cells = along(running(np.swapaxes(columns, 0, 1)), h, height)
+    return cells / (h * w / (height * width))
 
 
 def to_bytes(values: np.ndarray) -> np.ndarray:
@@ -199,7 +205,12 @@ def media_tiles(media: DataFrame, id_col: str = "media_id", content_col: str = "
 
 
 def save_tiles(tiles: DataFrame, folder: str) -> DataFrame:
-    """Writes each tile to ``folder``/{media_id}_{tile_row}_{tile_col}.npy on a file system all executors share; (path, bytes) of each."""
+    """Writes each tile to ``folder``/{media_id}_{tile_row}_{tile_col}.npy on a file system all executors share; (path, bytes) of each.
+
+    Rows without a tile, those of images with an error, are left out; a null id is
+    written as None; of repeated rows the last one written stays; an empty table
+    writes nothing; other columns are ignored.
+    """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
