@@ -356,10 +356,27 @@ def model():
 
 
 def test_counts_equal_the_library(model, texts):
+    """Whole texts, scores that are no round numbers, and ties by rounding: the library adds in single precision."""
     vocab = unigram.parse(model)
-    library = sentencepiece.SentencePieceProcessor(model_proto=sp_model.as_unigram(model, (vocab.score / unigram.UNIT).tolist()))
-    some = [t[:400] for t in texts.values()] + ["", "   ", " a", "a  b\n\nc", "日本語テキスト", "ﬁ½\U0001f600", "a" * 300]
-    assert token_counts.Counter(model)(some)[0] == [len(library.encode(t)) for t in some]
+    rng = np.random.default_rng(1)
+    round_ = vocab.score / unigram.UNIT
+    some = [*texts.values(), "", "   ", " a", "a  b\n\nc", "日本語テキスト", "ﬁ½\U0001f600", "a" * 3000, " ".join(texts.values())[:50_000]]
+    for score in (round_, round_ + rng.normal(0, 0.3, len(round_)), np.round(round_)):
+        own = sp_model.as_unigram(model, score.tolist())
+        library = sentencepiece.SentencePieceProcessor(model_proto=own)
+        counter = token_counts.Counter(own)
+        assert counter.lattices.vocab.single is not None and counter(some)[0] == [len(x) for x in library.encode(some)]
+
+
+def test_counts_of_a_vocabulary_without_scores(model, texts):
+    """Exact sums: cut and remembered chunks count as whole texts do."""
+    counter = token_counts.Counter(model)
+    some = [t[:3000] for t in texts.values()][:60]
+    counter.lattices.separable = False
+    whole = counter(some)
+    counter.lattices.separable = True
+    counter.known.clear()
+    assert counter.lattices.vocab.single is None and counter(some) == whole
 
 
 def test_trie_and_machine_give_the_same_lattice(model):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,17 +13,38 @@ from .unigram import UNIT, Lattices, parse
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _REMEMBERED = 400_000
-_BATCH_CHARS = 2_000_000
+_BATCH_CHARS = 1_000_000
+_WHOLE_CHARS = 500_000
 
 
 class Counter:
-    """Counts the pieces of texts; chunks seen before are remembered, up to a bound that only affects speed."""
+    """Counts the pieces of texts.
+
+    For a unigram model whole texts are searched in its tokenizer's arithmetic. For
+    other vocabularies sums are exact, so texts may be cut where no piece reaches
+    across, and chunks seen before are remembered, up to a bound that only affects speed.
+    """
 
     def __init__(self, model: bytes):
         self.lattices = Lattices(parse(model))
         self.known: dict[str, tuple[int, int]] = {}
 
+    def _whole(self, texts: list[str]) -> tuple[list[int], list[float]]:
+        counts, scores = np.zeros(len(texts), np.int64), np.zeros(len(texts))
+        order = sorted(range(len(texts)), key=lambda k: len(texts[k]))  # texts of like length share their steps
+        at = 0
+        while at < len(order):
+            some, held = at, 0
+            while at < len(order) and held < _WHOLE_CHARS:
+                held += len(texts[order[at]])
+                at += 1
+            rows = order[some:at]
+            scores[rows], counts[rows] = self.lattices.single_counts([texts[k] for k in rows])
+        return counts.tolist(), scores.tolist()
+
     def __call__(self, texts: list[str]) -> tuple[list[int], list[float]]:
+        if self.lattices.vocab.single is not None:
+            return self._whole(texts)
         parts = [self.lattices.chunks(t) for t in texts]
         if len(self.known) > _REMEMBERED:
             self.known.clear()
@@ -60,7 +82,8 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(doc_id, tokens, log_prob): for each row the number of pieces of its best unigram segmentation and that one's score.
 
     The vocabulary file is read by the driver and sent to all workers. Whole
-    texts are counted. Null and empty texts have 0 tokens; a null id stays null;
+    texts are counted, for a unigram model exactly as its tokenizer does, for others
+    by log-probabilities that ``unigram.parse`` gives to their pieces. Null and empty texts have 0 tokens; a null id stays null;
     repeated rows are counted each; of equally good segmentations the one that a
     left-to-right search with strict improvement finds is counted; an empty
     table gives no row; other columns are ignored.

@@ -1,7 +1,8 @@
 """Unigram vocabularies: pieces with log-probabilities, and the lattices of all ways to cut texts into pieces.
 
 Scores are whole multiples of 1/1024, so that sums are exact and ties are real
-ties in any order of addition.
+ties in any order of addition. A unigram model's own scores are kept beside them
+in single precision, in which its tokenizer adds them from the text's start.
 """
 
 from __future__ import annotations
@@ -49,7 +50,11 @@ def fields(message: bytes) -> Iterator[tuple[int, int, int | bytes]]:
 
 
 class Vocabulary(NamedTuple):
-    """``score`` is in units of 1/1024; ``kind`` is 1 for pieces that match text, 6 for bytes, 2 for the unknown piece, else 3."""
+    """``score`` is in units of 1/1024; ``kind`` is 1 for pieces that match text, 6 for bytes, 2 for the unknown piece, else 3.
+
+    ``single`` are the tokenizer's float32 scores and ``single_unknown`` that of an
+    unknown character, None if the model is none with scores of its own.
+    """
 
     piece: list[str]
     score: np.ndarray
@@ -59,6 +64,8 @@ class Vocabulary(NamedTuple):
     unknown_id: int
     byte_id: np.ndarray  # of each byte, or none
     dummy_prefix: bool
+    single: np.ndarray | None = None
+    single_unknown: np.float32 = np.float32(0)
 
 
 def parse(model: bytes) -> Vocabulary:
@@ -83,6 +90,13 @@ def parse(model: bytes) -> Vocabulary:
     kind = np.array([{1: 1, 4: 1}.get(k, k) for k in kinds])
     value = np.array(scores, np.float64)
     normal = np.flatnonzero(kind == 1)
+    own, single, single_unknown = np.flatnonzero(np.array(kinds) == 1), None, np.float32(0)
+    if unigram and len(own):
+        single = np.array(scores, np.float32)
+        single_unknown = single[own].min() - np.float32(_UNKNOWN_PENALTY)
+        for k in np.flatnonzero(np.array(kinds) == 4):  # pieces of the user's own choice win over all others
+            single[k] = np.float32(np.float32(len(pieces[k].encode())) * single[own].max() - 0.1)
+        value[normal] = single[normal]
     if not unigram:
         weight = 1 / (np.arange(len(normal)) + _ZIPF_SHIFT)
         value[normal] = np.log(weight / weight.sum())
@@ -92,7 +106,7 @@ def parse(model: bytes) -> Vocabulary:
         of_byte[int(pieces[k][3:5], 16)] = k
     return Vocabulary(
         pieces, score, kind, np.array([len(p) for p in pieces]), int(score[normal].min()) - _UNKNOWN_PENALTY * UNIT,
-        int(np.flatnonzero(kind == 2)[0]), of_byte if (of_byte >= 0).all() else np.zeros(0, np.int64), prefix,
+        int(np.flatnonzero(kind == 2)[0]), of_byte if (of_byte >= 0).all() else np.zeros(0, np.int64), prefix, single, single_unknown,
     )
 
 
@@ -180,6 +194,8 @@ class Lattices:
         for k in normal:
             longest = max(longest, len(vocab.piece[k]))
             self.separable &= SPACE not in vocab.piece[k].lstrip(SPACE)
+        if not len(vocab.byte_id):  # runs of unknown characters are one piece, across spaces if these are unknown too
+            self.separable &= any(vocab.piece[k] == SPACE for k in normal)
         self.room = max(2, longest + 1)
         self.trie = Trie(vocab) if trie else None
         if not trie:
@@ -227,22 +243,30 @@ class Lattices:
         cuts = np.searchsorted(level, np.arange(1, int(size.max(initial=0)) + 2))
         return Edges(start, end, piece, score, cuts, base, size)
 
+    def _costs(self, e: Edges, joined: str) -> np.ndarray:
+        """Pieces of each edge: an unknown character is as many as its bytes where the vocabulary has bytes."""
+        cost = np.ones(len(e.start), np.int64)
+        if len(self.vocab.byte_id):
+            for k in np.flatnonzero(e.piece < 0):
+                cost[k] = len(joined[e.start[k]].encode("utf-8", "surrogatepass"))
+        return cost
+
+    def _counted(self, count: np.ndarray, odd: np.ndarray, start: np.ndarray, end: np.ndarray, cost: np.ndarray, unknown: np.ndarray) -> None:
+        """Carries the counts along won edges; without bytes an unknown character after another adds nothing."""
+        count[end] = count[start] + cost - (unknown & odd[start] if not len(self.vocab.byte_id) else 0)
+        odd[end] = unknown
+
     def best_counts(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(best score, number of pieces) of each chunk.
 
         Of equally good ways to reach a place the one whose last piece starts
         first stays, as in a left-to-right search that replaces only by a
-        strictly better score. An unknown character counts its bytes where the
-        vocabulary has bytes.
+        strictly better score.
         """
         e = self.edges(chunks)
-        best = np.zeros(int((e.size + 1).sum()), np.int64)
-        count = np.zeros(len(best), np.int64)
-        joined = "\n".join(chunks) + "\n"
-        cost = np.ones(len(e.start), np.int64)
-        if len(self.vocab.byte_id):
-            for k in np.flatnonzero(e.piece < 0):
-                cost[k] = len(joined[e.start[k]].encode("utf-8", "surrogatepass"))
+        n = int((e.size + 1).sum())
+        best, count, odd = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, bool)
+        cost = self._costs(e, "\n".join(chunks) + "\n")
         shift = self.room.bit_length()
         for a, b in zip(e.level, e.level[1:]):
             start, end = e.start[a:b], e.end[a:b]
@@ -251,10 +275,42 @@ class Lattices:
             top = np.maximum.reduceat(key, first)
             won = np.flatnonzero(key == np.repeat(top, np.diff(np.append(first, b - a))))
             best[end[won]] = top >> shift
-            count[end[won]] = count[start[won]] + cost[a:b][won]
+            self._counted(count, odd, start[won], end[won], cost[a:b][won], e.piece[a:b][won] < 0)
         done = e.base + e.size
         return best[done], count[done]
 
+    def single_counts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(best score, number of pieces) of each whole text in the tokenizer's own arithmetic.
+
+        Sums run from the text's start, so texts are not cut. The best score at a place is
+        kept in single precision; ways to it come in the order of the start of their
+        last piece, and one whose sum, in double precision but for unknown characters,
+        is greater than the score kept takes its place.
+        """
+        marked = ["".join(self.chunks(t)) for t in texts]
+        e = self.edges(marked)
+        n = int((e.size + 1).sum())
+        best, count, odd = np.zeros(n, np.float32), np.zeros(n, np.int64), np.zeros(n, bool)
+        cost = self._costs(e, "\n".join(marked) + "\n")
+        known = e.piece >= 0
+        score = np.where(known, self.vocab.single[e.piece], self.vocab.single_unknown)
+        for a, b in zip(e.level, e.level[1:]):
+            start, end, sure = e.start[a:b], e.end[a:b], known[a:b]
+            term = np.where(sure, best[start].astype(np.float64) + score[a:b], (best[start] + score[a:b]).astype(np.float64))
+            first = np.flatnonzero(np.concatenate([[True], end[1:] != end[:-1]]))
+            size = np.diff(np.append(first, b - a))
+            won = first.copy()
+            kept = term[first].astype(np.float32)
+            for k in range(1, int(size.max(initial=0))):
+                at = np.flatnonzero(size > k)
+                more = first[at] + k
+                better = term[more] > kept[at]
+                won[at[better]], kept[at[better]] = more[better], term[more[better]].astype(np.float32)
+            best[end[won]] = kept
+            self._counted(count, odd, start[won], end[won], cost[a:b][won], ~sure[won])
+        done = e.base + e.size
+        return best[done].astype(np.float64), count[done]
+
 
 def decode(vocab: Vocabulary, ids: list[int]) -> str:
     """The text of piece ids: marked spaces are spaces, runs of byte pieces are UTF-8, the dummy prefix is taken off."""
