@@ -538,6 +538,20 @@ def test_loser_tree():
         assert list(warc.LoserTree(runs)) == sorted(sum(runs, []))
 
 
+def test_hot_key_spans_parts(spark):
+    r = random.Random(4)
+    rows = [("hot.com", r.randrange(300) if r.random() > 0.1 else None, k, r.choice("xyz")) for k in range(400)] + [(f"u{k % 9}.com", r.randrange(50), k, "d") for k in range(60)]
+    captures = spark.createDataFrame(rows, "url string, ts bigint, page_id bigint, digest string").repartition(5)
+    found = [tuple(x) for x in warc.capture_histories(captures, rows_per_part=37).collect()]
+    want, before = [], {}
+    low = lambda x: -1 if x is None else x
+    for url, ts, ident, digest in sorted(rows, key=lambda x: (f"com,{x[0][:-4]})/", low(x[1]), x[2], x[3])):
+        n, last_ts, last = before.get(url, (0, None, None))
+        want.append((f"com,{url[:-4]})/", ts, ident, digest, n + 1, ts - last_ts if n and None not in (ts, last_ts) else None, n == 0 or digest != last))
+        before[url] = (n + 1, ts, digest)
+    assert found == want
+
+
 def test_warc_oracle(spark, data):
     found = [tuple(r) for r in warc.query(spark, data).collect()]
     duckdb.sql(f"CREATE OR REPLACE VIEW pages AS SELECT * FROM '{data}/pages.parquet'")

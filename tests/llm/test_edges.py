@@ -128,8 +128,9 @@ def test_media(spark, odd, none):
 def test_warc(spark):
     rows = [("http://b.com/x", 5, 1, "d"), ("http://b.com/x", 5, 1, "d"), ("HTTP://www.b.com:80/x#f", None, 2, None), (None, 1, 3, "d"), ("", 1, 4, "e"), ("b.com/x", 9, None, "e"), ("http://a.b.com?q", 1, 5, "z" * 50_000)]
     captures = spark.createDataFrame(rows, "url string, ts bigint, page_id bigint, digest string").withColumns({"run": F.lit(1), "url_key": F.lit("k")})
-    found = [(r.url_key, r.ts, r.page_id, r.capture, r.since_previous, r.changed) for r in warc.capture_histories(captures.repartition(3)).collect()]
-    assert found == [
+    read = lambda **k: [(r.url_key, r.ts, r.page_id, r.capture, r.since_previous, r.changed) for r in warc.capture_histories(captures.repartition(3), **k).collect()]
+    found = read()
+    assert read(rows_per_part=1) == found == [
         (")/", 1, 4, 1, None, True), ("com,b)/x", None, 2, 1, None, True), ("com,b)/x", 5, 1, 2, None, True), ("com,b)/x", 5, 1, 3, 0, False), ("com,b)/x", 9, None, 4, 4, True),
         ("com,b,a)/?q", 1, 5, 1, None, True),
     ]
