@@ -62,6 +62,57 @@ def test_near_duplicates_recall_and_precision(spark):
     assert near_dup.drop_near_duplicates(df).count() == len(rows) - len(group)
 
 
+def test_pairs_at_the_threshold(spark):
+    """Isolated pairs of documents that share exactly so many of their shingles."""
+    rng = random.Random(9)
+    draw = lambda n: [f"w{rng.randrange(1 << 40)}" for _ in range(n)]
+    rows, like = [], []
+    for own in [50] * 40 + [45] * 20 + [33] * 20 + [66] * 40:
+        common = draw(102)
+        for _ in range(2):
+            rows.append((len(rows), " ".join(common + draw(own))))
+        like.append(100 / (100 + 2 * own))
+    found = {r.doc_id // 2 for r in near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    share = lambda low, high: np.mean([k in found for k, j in enumerate(like) if low <= j < high])
+    assert share(0.5, 0.51) >= 0.8 and share(0.5, 0.8) >= 0.9 and share(0, 0.5) <= 0.05
+
+
+def test_blocks_of_large_buckets(spark):
+    rng = random.Random(10)
+    vocabulary = [f"w{k}" for k in range(5000)]
+    rows = []
+    for size in (45, 30, 3):
+        words = [rng.choice(vocabulary) for _ in range(90)]
+        rows += [(len(rows) + k, " ".join(edited(rng, words, 0.04 * (k > 3), vocabulary))) for k in range(size)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    sets = {k: set(zip(*(t.split()[j:] for j in range(near_dup.SHINGLE)))) for k, t in rows}
+    near = [(a, b) for a, b in itertools.combinations(sets, 2) if len(sets[a] & sets[b]) >= near_dup.THRESHOLD * len(sets[a] | sets[b])]
+    root = list(range(len(rows)))
+    for _ in rows:
+        for a, b in near:
+            root[a] = root[b] = min(root[a], root[b])
+    want = {k: m for k, m in enumerate(root) if m != k}
+    for block in (near_dup.BLOCK, 7):
+        assert {r.doc_id: r.kept_doc_id for r in near_dup.near_duplicates(df, block=block).collect()} == want
+
+
+def test_buckets_are_read_as_they_come():
+    """Whatever the batches, small buckets give all pairs, large ones their members in blocks."""
+    rng = random.Random(11)
+    sizes = [1, 2, 3, 16, 17, 40, 2, 1, 100]
+    rows = [(b, i) for b, n in enumerate(sizes) for i in sorted(rng.sample(range(1000), n)) for _ in range(1 + (i % 7 == 0))]
+    for step in (1, 3, 50, 1000):
+        batches = [pa.record_batch([pa.array([x for x, _ in rows[k : k + step]]), pa.array([x for _, x in rows[k : k + step]])], names=["band", "doc_id"]) for k in range(0, len(rows), step)]
+        got = [r for b in near_dup._met_rows(iter(batches), 8) for r in b.to_pylist()]
+        for band, n in enumerate(sizes):
+            ids = sorted({i for b, i in rows if b == band})
+            if n > near_dup._SMALL:
+                mine = sorted((r["b"], r["place"]) for r in got if r["place"] is not None and r["a"] == band)
+                assert [i for i, _ in mine] == ids and [p for _, p in mine] == [k // 8 for k in range(n)]
+        pairs = sorted((r["a"], r["b"]) for r in got if r["place"] is None)
+        assert pairs == sorted(p for band, n in enumerate(sizes) if n <= near_dup._SMALL for p in itertools.combinations(sorted({i for b, i in rows if b == band}), 2))
+
+
 def test_odd_sketches_estimate_high_similarities():
     rng = np.random.default_rng(0)
     for j, spread in ((0.5, 0.2), (0.8, 0.1), (0.95, 0.05)):
@@ -122,6 +173,51 @@ def test_decontamination_against_all_windows(texts):
     assert {(3 * k, k) for k in range(len(items))} <= found and all(truth[d] == i for d, i in found)
 
 
+def test_leaks_against_loops():
+    """Similarity, fingerprints and the choice of windows by plain loops over every window."""
+    rng = random.Random(6)
+    words = [f"w{k}" for k in range(60)]
+    items = [" ".join(rng.choice(words) for _ in range(n)) for n in (6, 9, 9, 14)]
+    texts = [" ".join(rng.choice(words) for _ in range(10)) + " " + " ".join(w if rng.random() > 0.12 else rng.choice(words) for w in rng.choice(items).split()) + " " + rng.choice(items) for _ in range(25)]
+    index = decontam.build_index(np.arange(4), items, 2)
+    weight = lambda h: float(index.weight[h >> np.uint64(64 - decontam._FILTER_BITS)])
+
+    def hashes(text):
+        raw = text.encode()
+        return shingles(find_words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)])), 2)[0].tolist()
+
+    def simhash(hs):
+        return [sum(weight(np.uint64(h)) * (1 if h >> j & 1 else -1) for h in hs) > 0 for j in range(64)]
+
+    def like(x, y):
+        both, every = 0.0, 0.0
+        for h in {*x, *y}:
+            both += min(x.count(h), y.count(h)) * weight(np.uint64(h))
+            every += max(x.count(h), y.count(h)) * weight(np.uint64(h))
+        return both / every
+
+    want = set()
+    for d, text in enumerate(texts):
+        w = text.split()
+        for i, item in enumerate(items):
+            n, best = len(item.split()), None
+            for at in range(len(w) - n + 1):
+                own, its = hashes(" ".join(w[at : at + n])), hashes(item)
+                if sum(a != b for a, b in zip(simhash(own), simhash(its))) <= decontam.RADIUS and (s := like(own, its)) >= decontam.THRESHOLD - 1e-9 and (best is None or s > best[0] + 1e-12):
+                    best = (s, at)
+            if best:
+                want.add((d, i, best[1], round(best[0], 5)))
+    batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], names=["d", "t"])
+    found = {(r["doc_id"], r["item_id"], r["first_word"], round(r["similarity"], 5)) for b in decontam.Searcher(index, 2, decontam.RADIUS, decontam.THRESHOLD).rows([batch]) for r in b.to_pylist()}
+    assert found == want and len(want) > 20
+
+
+def test_parts_of_the_benchmark_change_nothing(spark, data):
+    docs, items = (spark.read.parquet(f"{data}/{t}.parquet") for t in ("documents", "benchmark"))
+    whole, parts = (sorted(tuple(r) for r in decontam.find_leaks(docs, items, part_bytes=n).collect()) for n in (decontam.PART_BYTES, 2000))
+    assert whole == parts and whole
+
+
 def test_hamming_blocks_find_all_within_radius():
     rng = np.random.default_rng(1)
     prints = rng.integers(0, 2**63, 40).astype(np.uint64)
@@ -141,6 +237,14 @@ def test_exact_passages_are_found(spark, docs, texts):
     want = set().union(*(v for v in runs.values() if len(v) > 1), set())
     rows = passages.repeated_passages(docs).collect()
     assert want <= {r.doc_id for r in rows} == {r.other_doc_id for r in rows}
+    spans: dict[int, list] = {}
+    for r in rows:
+        spans.setdefault(r.doc_id, []).append((r.first_word, r.end_word))
+    for k, t in texts.items():  # every repeated run of 50 words lies in a passage that was found, whichever document it is paired with
+        w = WORD.findall(t.lower())
+        for j in range(len(w) - 49):
+            if len(runs[tuple(w[j : j + 50])]) > 1:
+                assert any(a <= j and j + 50 <= b for a, b in spans[k])
     tokens = {k: WORD.findall(t.lower()) for k, t in texts.items()}
     for r in rows:
         a, b = tokens[r.doc_id][r.first_word : r.end_word], tokens[r.other_doc_id][r.other_first_word : r.other_end_word]
@@ -149,6 +253,21 @@ def test_exact_passages_are_found(spark, docs, texts):
         assert np.mean(same) == pytest.approx(r.similarity, abs=1e-6) and r.similarity >= passages.SHARE
 
 
+def test_hot_tokens_and_repeated_ids(spark, monkeypatch):
+    rng = random.Random(12)
+    words = [f"v{k}" for k in range(20000)]
+    draw = lambda n: [rng.choice(words) for _ in range(n)]
+    shared, other = draw(70), draw(60)
+    rows = [(k, " ".join(draw(30) + shared + draw(30))) for k in range(60)] + [(100, " ".join(draw(40) + other)), (200, " ".join(draw(80))), (200, " ".join(other + draw(20))), (200, None), (None, " ".join(other))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    monkeypatch.setattr(passages, "_HOT_SAMPLE", 0.999)
+    hot = passages.hot_tokens(passages.as_documents(df, "doc_id", "text"), 50, 8, 6, 20)
+    assert len(hot[0]) and (hot[1] >= 2).all()
+    found = passages.repeated_passages(df, hot=20).collect()
+    assert {r.doc_id for r in found} == {*range(60), 100, 200} and not any(r.doc_id == r.other_doc_id for r in found)
+    assert {(r.first_word, r.end_word) for r in found if r.doc_id == 200} == {(0, 60)}
+
+
 def test_edited_passages(spark):
     rng = random.Random(4)
     words = [f"v{k}" for k in range(5000)]
@@ -524,6 +643,47 @@ def test_images_round_trip_and_resize():
     assert media.difference_hash(ramp) == -1 and media.difference_hash(ramp[:, ::-1]) == 0
 
 
+def bmp(bits, rows, palette=b"", top_down=False):
+    """An uncompressed BMP of packed rows, top row first."""
+    import struct
+
+    h, width = len(rows), len(rows[0]) * 8 // bits
+    body = b"".join(r + b"\0" * (-len(r) % 4) for r in (rows if top_down else rows[::-1]))
+    at = 54 + len(palette)
+    return b"BM" + struct.pack("<IHHI", at + len(body), 0, 0, at) + struct.pack("<IiiHHIIiiII", 40, width, -h if top_down else h, 1, bits, 0, len(body), 0, 0, len(palette) // 4, 0) + palette + body
+
+
+def test_bitmaps_of_every_depth():
+    grey, colours = bytes([10, 10, 10, 0, 200, 200, 200, 0]), bytes([1, 2, 3, 0, 4, 5, 6, 0, 7, 8, 9, 0])
+    for down in (False, True):
+        assert media.decode_image(bmp(1, [b"\xa0", b"\x0f"], grey, down)).tolist() == [[200, 10, 200, 10, 10, 10, 10, 10], [10, 10, 10, 10, 200, 200, 200, 200]]
+        assert media.decode_image(bmp(4, [b"\x01", b"\x20"], colours, down)).tolist() == [[[3, 2, 1], [6, 5, 4]], [[9, 8, 7], [3, 2, 1]]]
+        assert media.decode_image(bmp(32, [bytes([1, 2, 3, 9, 4, 5, 6, 9])], b"", down)).tolist() == [[[3, 2, 1], [6, 5, 4]]]
+        assert media.decode_image(bmp(24, [bytes([1, 2, 3]), bytes([4, 5, 6])], b"", down)).tolist() == [[[3, 2, 1]], [[6, 5, 4]]]
+    with pytest.raises(ValueError):
+        media.decode_image(bmp(4, [b"\x05"], colours))
+
+
+def test_media_query_against_loops(spark, data, texts):
+    rows = {}
+    for r in media.query(spark, data).collect():
+        rows.setdefault(r.media_id, []).append(r)
+    for ident in sorted(texts)[::9]:
+        raw, colour = np.frombuffer(texts[ident].encode() or b"\0", np.uint8), ident % 2
+        image = np.pad(raw, (0, -len(raw) % (64 * (3 if colour else 1)))).reshape((-1, 64, 3) if colour else (-1, 64)).astype(float)
+        h = len(image)
+        over = lambda n, m: np.array([[max(0.0, min(j + 1, (i + 1) * n / m) - max(j, i * n / m)) for j in range(n)] for i in range(m)])
+        small = np.einsum("ij,jk...,lk->il...", over(h, 32), image, over(64, 32)) / (h * 64 / 1024)
+        for r in rows[ident]:
+            tile = np.load(io.BytesIO(r.npy))
+            want = small[16 * r.tile_row : 16 * r.tile_row + 16, 16 * r.tile_col : 16 * r.tile_col + 16]
+            assert (r.height, r.width, r.error) == (h, 64, None) and np.abs(tile - want).max() <= 0.5 + 1e-6
+        grey = image @ np.array([0.299, 0.587, 0.114]) if colour else image
+        cells = over(h, 8) @ grey @ over(64, 9).T / (h * 64 / 72)
+        bits = "".join("1" if a > b + 1e-6 else "0" for row in cells for a, b in zip(row, row[1:]))
+        assert len(rows[ident]) == 4 and rows[ident][0].dhash == (int(bits, 2) - (1 << 64 if bits[0] == "1" else 0))
+
+
 def test_saved_tiles(spark, tmp_path):
     image = media.encode_netpbm(np.arange(64, dtype=np.uint8).reshape(8, 8))
     tiles = media.media_tiles(spark.createDataFrame([(5, bytearray(image))], "media_id bigint, content binary"), side=8, tile=4)

@@ -125,6 +125,36 @@ def test_media(spark, odd, none):
     assert sum(r.error is not None for r in rows) == 7 and sum(r.media_id is None and r.dhash == 0 for r in rows) == 4
 
 
+def test_stages(spark, odd, none, tmp_path):
+    """Each stage and the whole pipeline on nulls, repeats, clashing columns and no rows."""
+    import corpus_pipeline
+
+    tables = {
+        "labels": spark.createDataFrame([(1, 1, 0), (2, 1, 0), (6, 0, 0), (9, 0, 1), (None, 1, 0)], "doc_id bigint, quality int, toxic int"),
+        "benchmark": spark.createDataFrame([(1, "same row"), (2, None)], "item_id bigint, text string"), "documents": odd,
+    }
+    for name, table in tables.items():
+        table.write.parquet(f"{tmp_path}/{name}.parquet")
+    for docs in (odd, none):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, docs, str(tmp_path))
+            assert out.columns == docs.columns and out.count() <= docs.count(), name
+        assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).where("NOT decoded").count() == 0
+    assert 7 not in ids(corpus_pipeline.decontamination_stage(spark, odd, str(tmp_path))) and corpus_pipeline.secrets_stage(spark, odd, str(tmp_path)).count() == len(ROWS)
+    assert corpus_pipeline.run(spark, str(tmp_path)).columns[0] == "doc_id"
+
+
+def test_ties(spark):
+    """Equally similar windows: the first; words of equal count: one decision for both; equal scores: one decision."""
+    twice = spark.createDataFrame([(1, "x y z one two three x y z one two three")], "doc_id bigint, text string")
+    assert [r.first_word for r in decontam.find_leaks(twice, spark.createDataFrame([(5, "one two three")], "item_id bigint, text string")).collect()] == [3]
+    even = spark.createDataFrame([(1, "a b"), (2, "b a"), (3, "a b")], "doc_id bigint, text string")
+    found = {r.doc_id: r.log_likelihood for r in lm_score.pseudo_likelihoods(even, vocabulary=1, classes=4, own=1, members=4, rounds=1).collect()}
+    assert found[1] == found[3] and len(found) == 3
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0)], "doc_id bigint, quality int, toxic int")
+    assert len({r.kept for r in quality.judged(even.withColumn("text", F.lit("same")), labels).collect()}) == 1
+
+
 def test_warc(spark):
     rows = [("http://b.com/x", 5, 1, "d"), ("http://b.com/x", 5, 1, "d"), ("HTTP://www.b.com:80/x#f", None, 2, None), (None, 1, 3, "d"), ("", 1, 4, "e"), ("b.com/x", 9, None, "e"), ("http://a.b.com?q", 1, 5, "z" * 50_000)]
     captures = spark.createDataFrame(rows, "url string, ts bigint, page_id bigint, digest string").withColumns({"run": F.lit(1), "url_key": F.lit("k")})

@@ -137,7 +137,7 @@ def _met_rows(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[pa.Reco
             own = np.unique(ids[: edge[1]])
             held = np.concatenate([held, own[own > held[-1]] if len(held) else own])
             edge = edge[1:]
-            if len(held) > block:
+            if len(held) > max(block, _SMALL):
                 yield from give(last, held[:-1], done, True)
                 done, held = done + len(held) - 1, held[-1:]
         if len(edge) > 1:
