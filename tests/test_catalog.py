@@ -48,6 +48,12 @@ def test_no_python_in_relational_plans(spark, data):
         assert "Python" not in plan and "MapIn" not in plan, name
 
 
+def test_no_wide_rows_are_sorted_or_fetched(spark, data):
+    for name in ("merge_scores_in_order", "merge_asr_shards", "resume_union", "lid_probe_longest", "lid_gate_first_segment", "char_vocab", "seeded_split"):
+        plan = entry.queries()[name](spark, data)._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan and "TakeOrdered" not in plan, name
+
+
 def test_pushdown(spark, data):
     plan = entry.queries()["lid_probe_longest"](spark, data)._jdf.queryExecution().executedPlan().toString()
     assert "text" not in plan.split("ReadSchema")[1].split("\n")[0]

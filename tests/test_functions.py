@@ -11,7 +11,7 @@ from voxmill.functions import ids, numbers, text
 from voxmill.operators.language import target_list
 from voxmill.operators.speaker import greedy_labels
 
-MARKS = set(text.PUNCTUATION)
+MARKS = set("!\"'(),.:;?[]—…、。《》【】！（），：；？")
 
 
 def norm(x):
@@ -62,6 +62,11 @@ def test_ids(spark):
     assert tuple(df) == ("a_seg1234", "a_seg007", "x_b", "x/b", "z.tar", "na", "x" * 80, 448)
 
 
+def test_speaker_patterns_are_those_of_the_corpora():
+    assert ids.CORPUS_SPLITS == ("dev-clean", "dev-other", "test-clean", "test-other", "train-clean-100", "train-clean-360", "train-other-500")
+    assert numbers.CALIBRATION["pipeline"]["ovr"] == pytest.approx(numbers.CALIBRATION["batch"]["ovr"], abs=1e-6) and set(text.PUNCTUATION) == MARKS
+
+
 def test_targets():
     assert target_list(["en,zh", "EN", "fr"]) == ["en", "zh", "fr"] and target_list("zh en,zh") == ["zh", "en"]
 

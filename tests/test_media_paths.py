@@ -85,10 +85,60 @@ def test_tar(spark, tmp_path):
             info.size = len(data)
             tar.addfile(info, io.BytesIO(data))
     found = {r.member: r for r in tar_audio.tar_audio(spark, path, content=True).collect()}
-    assert set(found) == {"one.wav", "two.WAV"} and found["one.wav"].num_sample == 16_000
+    assert set(found) == {"one.wav", "two.WAV", "bad.wav"} and found["one.wav"].num_sample == 16_000 and found["one.wav"].error is None
+    assert found["bad.wav"].error == "not a WAV file" and found["bad.wav"].pcm is None
     assert found["one.wav"].wav_uuid == hashlib.sha256(f"{path}::one.wav".encode()).hexdigest()
-    again = {r.wav_uuid: r.pcm for r in tar_audio.reread(tar_audio.tar_audio(spark, path)).collect()}
-    assert all(again[r.wav_uuid] == r.pcm for r in found.values())
+    again = {r.wav_uuid: (r.pcm, r.error) for r in tar_audio.reread(tar_audio.tar_audio(spark, path)).collect()}
+    assert all(again[r.wav_uuid] == (r.pcm, r.error) for r in found.values())
+
+
+def test_segments_are_read_without_the_rest(spark, tmp_path):
+    wav = tone(4, quiet=[(1, 2)])
+    (tmp_path / "a.wav").write_bytes(wav)
+    whole = pcm.decode_wav(wav)[0]
+    rows = spark.createDataFrame([("s", str(tmp_path / "a.wav"), 0.5, 1.25), ("late", str(tmp_path / "a.wav"), 3.9, 9.0), ("none", str(tmp_path / "b.wav"), 0.0, 1.0)], "seg_id string, path string, start_sec double, end_sec double")
+    found = {r.seg_id: r for r in audio_files.segment_samples(rows).collect()}
+    assert np.allclose(np.frombuffer(found["s"].pcm, "<f4"), whole[8000:20000]) and np.allclose(np.frombuffer(found["late"].pcm, "<f4"), whole[62400:]) and found["none"].error
+
+
+def test_polyphase_resampling():
+    t = np.arange(44_100) / 44_100
+    x = np.sin(2 * np.pi * 440 * t)
+    y = pcm.resample_polyphase(x, 44_100)
+    want = np.sin(2 * np.pi * 440 * np.arange(len(y)) / 16_000)
+    assert len(y) == 16_000 and np.abs(y - want)[200:-200].max() < 2e-3
+    high = pcm.resample_polyphase(np.sin(2 * np.pi * 12_000 * t), 44_100)
+    assert np.abs(high[200:-200]).max() < 0.02  # beyond half of the new rate
+    assert len(pcm.resample_polyphase(np.zeros(0), 8000)) == 0 and (pcm.resample_polyphase(np.ones(9), 16_000) == 1).all()
+
+
+def graph(op: str) -> bytes:
+    """A serialized graph y = op(x) of float tensors of any size, with the mean over all but the first axis for ReduceMean."""
+
+    def field(number, value):
+        key = number << 3 | (0 if isinstance(value, int) else 2)
+        mark = bytes([key]) if key < 128 else bytes([key & 127 | 128, key >> 7])
+        return mark + (bytes([value]) if isinstance(value, int) else bytes([len(value)]) + value)
+
+    def tensor(name, axes):
+        shape = field(2, b"".join(field(1, field(2, b"n%d" % k)) for k in range(axes)))
+        return field(1, name) + field(2, field(1, field(1, 1) + shape))
+
+    axes = field(5, field(1, b"axes") + field(8, 1) + field(20, 7)) + field(5, field(1, b"keepdims") + field(3, 0) + field(20, 2)) if op == "ReduceMean" else b""
+    node = field(1, b"x") + field(2, b"y") + field(4, op.encode()) + axes
+    body = field(1, node) + field(2, b"g") + field(11, tensor(b"x", 2)) + field(12, tensor(b"y", 1 if axes else 2))
+    return field(1, 8) + field(7, body) + field(8, field(2, 13))
+
+
+def test_graph_scorer(spark, tmp_path):
+    (tmp_path / "mean.onnx").write_bytes(graph("ReduceMean"))
+    df = spark.createDataFrame([(1, bytearray(np.array([1, 3], "<f4").tobytes())), (2, bytearray(np.array([5, 5, 5, 5], "<f4").tobytes())), (3, None)], "k int, pcm binary")
+    scorer = scoring.Graph(str(tmp_path / "mean.onnx"), "level double", scoring.samples_of, lambda out, rows: {"level": [float(o[0][0]) for o in out]})
+    found = {r.k: (r.level, r.score_error) for r in scoring.run_scorer(df, scorer, "record", drop=("pcm",)).collect()}
+    assert found[1] == (2.0, None) and found[2] == (5.0, None) and found[3][0] is None and found[3][1]
+    missing = scoring.Graph(str(tmp_path / "none.onnx"), "level double", scoring.samples_of, lambda out, rows: {})
+    with pytest.raises(Exception, match="none.onnx"):
+        scoring.run_scorer(df, missing).collect()
 
 
 def test_scorers(spark):
@@ -114,7 +164,7 @@ def test_tables_and_sinks(spark, tmp_path):
     for name, rows in (("s1", df), ("s2", df.limit(0))):
         sinks.write_tsv(rows, str(tmp_path / name))
     assert tables.tsv(spark, str(tmp_path / "s1")).count() == 2 and tables.tsv(spark, str(tmp_path / "s2")).columns == ["t", "x"]
-    assert tables.score_shards(spark, [str(tmp_path / "s1")]).columns == ["t", "x", "file", "line"]
+    assert tables.score_shards(spark, [str(tmp_path / "s1")]).columns == ["t", "x", "file", "block", "line"]
     (tmp_path / "l.jsonl").write_text('{"k": 1}\n{"k": \n{"k": 2}\n')
     assert sorted(r.k for r in tables.json_lines(spark, str(tmp_path / "l.jsonl"), "k int").collect()) == [1, 2]
     sinks.write_both(df, F.col("x") > 1, str(tmp_path / "all"), str(tmp_path / "kept"))

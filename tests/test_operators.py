@@ -92,6 +92,25 @@ def test_merges(spark):
     assert {r.k: r.v for r in merge.resume_union(cache, spark.createDataFrame([(1, 11), (3, 30)], "k int, v int"), "k").collect()} == {1: 10, 3: 30, 9: 90}
 
 
+def test_merge_counts_and_unique_order(spark):
+    want = spark.createDataFrame([("s0",), ("s1",), ("s2",)], "seg_id string")
+    got = spark.createDataFrame([("s0", 1.0, 0, 5), ("s0", 2.0, 1, 0), ("s1", 3.0, 0, 9), ("x", 4.0, 0, 1)], "seg_id string, v double, file int, line bigint")
+    assert tuple(merge.merge_counts(want, got).first()) == (3, 2, 1, 1) and tuple(merge.merge_counts(want, got.limit(0)).first()) == (3, 0, 3, 0)
+    for unique in (True, False):
+        assert {r.seg_id: r.v for r in merge.last_of(got, ["seg_id"], ["file", "line"], unique).collect()} == {"s0": 2.0, "s1": 3.0, "x": 4.0}
+
+
+def test_cache_table(spark, tmp_path):
+    cache = merge.CacheTable(spark, f"file://{tmp_path}/cache", "k", "k int, v string")
+    assert cache.read().count() == 0
+    cache.upsert(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"))
+    cache.upsert(spark.createDataFrame([(2, "c"), (3, None)], "k int, v string"))
+    (tmp_path / "cache" / "batch=2").mkdir()  # a batch that was broken off has no success mark
+    assert {r.k: r.v for r in cache.read().collect()} == {1: "a", 2: "c", 3: None}
+    cache.compact()
+    assert {r.k: r.v for r in cache.read().collect()} == {1: "a", 2: "c", 3: None}
+
+
 def test_row_numbers_and_shards(spark):
     df = spark.range(101).withColumn("h", F.xxhash64("id")).repartition(5)
     rows = with_row_number(df, [F.col("h")]).orderBy("h").collect()
@@ -108,6 +127,37 @@ def test_training(spark):
     assert {r.token: r.id for r in vocab.collect()} == {"<pad>": 0, "<unk>": 1, "|": 2, "b": 3, "a": 4, "c": 5}
 
 
+def test_split_edges_and_parity(spark):
+    import hashlib
+    import random as r
+
+    rows = spark.range(977)
+    order = sorted(range(977), key=lambda k: hashlib.sha256(f"20260605:{k}".encode()).hexdigest())
+    want = {k: "test" if n < 19 else "dev" if n < 38 else "train" for n, k in enumerate(order)}
+    assert {x.id: x.split for x in training.seeded_split(rows, "id").collect()} == want
+    assert training.seeded_split(rows.limit(0), "id").columns == ["id", "split"]
+    places = list(range(200))
+    r.Random(5).shuffle(places)
+    found = {x.id: x.split for x in training.shuffled_split(spark.range(200).repartition(3), [F.col("id")], seed=5).collect()}
+    assert {k for k, s in found.items() if s == "test"} == set(places[:4]) and {k for k, s in found.items() if s == "dev"} == set(places[4:8])
+    with pytest.raises(ValueError):
+        training.shuffled_split(spark.range(20), [F.col("id")], most=10)
+
+
+def test_label_items(spark):
+    labels = spark.createDataFrame([({"b": "said", "a": ""}, "own", 0.0, 3.0, None, "u"), (None, "own", 2.0, 3.0, "en", None)], "transcribe map<string,string>, text string, duration double, duration_sec double, text_lang string, wav_uuid string")
+    found = [(x.text, x.duration_sec, x.lang, x.key, x.mos_ovr) for x in training.label_items(labels).collect()]
+    assert found == [("said", 3.0, "", "u", None), ("own", 2.0, "en", None, None)]
+    assert training.label_items(labels, model="a").first().text == "own"
+
+
+def test_known_speakers_stay(spark):
+    v = [("f/1", 1, "S1", [1.0, 0.0]), ("f/1", 2, "UNKNOWN", [1.0, 0.0]), ("f/1", 3, "UNKNOWN", [0.8, 0.6]), ("f/1", 4, "UNKNOWN", [0.0, 1.0]), ("f/1", 5, "UNKNOWN", None), ("g", 6, None, [1.0, 0.0])]
+    df = spark.createDataFrame(v, "file string, k int, spk string, embedding array<double>")
+    found = {r.k: r.spk_final for r in speaker.greedy_clusters(df, "file", "k", "spk").collect()}
+    assert found == {1: "S1", 2: "AUTO_f_1_p000", 3: "AUTO_f_1_p000", 4: "AUTO_f_1_p001", 5: "UNKNOWN", 6: None}
+
+
 def test_records(spark):
     tokens = F.array(F.struct(F.lit(" a ").alias("token"), F.lit(0.12345).alias("start"), F.lit(1.0).alias("end")), F.struct(F.lit(" ").alias("token"), F.lit(0.0).alias("start"), F.lit(1.0).alias("end")))
     assert [tuple(t) for t in spark.range(1).select(export.clean_tokens(tokens).alias("t")).first().t] == [("a", 0.123, 1.0)]

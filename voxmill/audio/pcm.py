@@ -66,6 +66,51 @@ def resample(samples: np.ndarray, rate: int, to: int = RATE) -> np.ndarray:
     return (np.fft.irfft(kept, n) * (n / len(samples))).astype(np.float32)
 
 
+def resample_polyphase(samples: np.ndarray, rate: int, to: int = RATE, zeros: int = 10, beta: float = 5.0) -> np.ndarray:
+    """Resampling by a windowed sinc of ``zeros`` zero crossings to either side, of which each output sample uses one phase."""
+    if rate == to or not len(samples):
+        return samples.astype(np.float32)
+    common = int(np.gcd(rate, to))
+    up, down = to // common, rate // common
+    slow = max(up, down)
+    half = zeros * slow
+    k = np.arange(-half, half + 1)
+    h = np.sinc(k / slow) * np.kaiser(2 * half + 1, beta)
+    h *= up / h.sum()
+    at = np.arange(-(-len(samples) * up // down)) * down  # places of the outputs among the samples and the zeros between them
+    first = -((half - at) // up)  # the first sample within reach
+    tap = np.arange(2 * half // up + 1)
+    source = first[:, None] + tap
+    place = at[:, None] - source * up + half
+    good = (source >= 0) & (source < len(samples)) & (place >= 0) & (place <= 2 * half)
+    x = np.asarray(samples, np.float64)
+    return np.where(good, x[np.clip(source, 0, len(samples) - 1)] * h[np.clip(place, 0, 2 * half)], 0.0).sum(axis=1).astype(np.float32)
+
+
+def read_wav_span(path: str, start: float, end: float) -> tuple[np.ndarray, int]:
+    """(mono samples, rate) between two times of a WAV file, of which only the header and that span are read."""
+    with open(path, "rb") as f:
+        head = f.read(12)
+        if head[:4] != b"RIFF" or head[8:12] != b"WAVE":
+            raise ValueError("not a WAV file")
+        form = None
+        while len(mark := f.read(8)) == 8:
+            name, size = mark[:4], struct.unpack("<I", mark[4:])[0]
+            if name == b"data":
+                if form is None:
+                    raise ValueError("no format before the data")
+                _, channels, rate, _, _, bits = struct.unpack_from("<HHIIHH", form)
+                wide = channels * bits // 8
+                a, b = (min(max(0, int(x * rate)), size // wide) for x in (start, end))
+                f.seek(a * wide, 1)
+                body = f.read(max(0, b - a) * wide)
+                return decode_wav(b"RIFF\0\0\0\0WAVEfmt " + struct.pack("<I", len(form)) + form + b"data" + struct.pack("<I", len(body)) + body)
+            body = f.read(size + size % 2)
+            if name == b"fmt ":
+                form = body[:size]
+    raise ValueError("no data")
+
+
 def cut(samples: np.ndarray, start: float, end: float, rate: int = RATE, mode: str = "truncate") -> np.ndarray:
     """Samples between two times; ``truncate`` cuts frame numbers off, ``round`` rounds and clamps them."""
     if mode == "truncate":

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import Any, Protocol
 
 import numpy as np
@@ -132,6 +132,36 @@ class WindowedOnnx:
         return pd.DataFrame(out, columns=["raw_sig", "raw_bak", "raw_ovr"])
 
 
+def samples_of(rows: pd.DataFrame) -> Iterator[np.ndarray]:
+    """Each row's ``pcm`` as a (1, samples) tensor."""
+    for pcm in rows["pcm"]:
+        if pcm is None:
+            raise ValueError("no samples")
+        yield np.frombuffer(pcm, "<f4")[None].astype(np.float32)
+
+
+class Graph:
+    """Any model with an ONNX file: speech frames, language, speaker vectors or quality.
+
+    ``prepare`` makes one input tensor of each row, ``finish`` the output columns
+    of the rows' results; the file is loaded once in each worker.
+    """
+
+    def __init__(self, path: str, output: str, prepare: Callable[[pd.DataFrame], Iterator[np.ndarray]], finish: Callable[[list, pd.DataFrame], dict[str, list]]):
+        self.key, self.path, self.output, self.prepare, self.finish = f"graph-{path}-{output}", path, output, prepare, finish
+
+    def open(self) -> Any:
+        try:
+            import onnxruntime
+        except ImportError as e:
+            raise RuntimeError("onnxruntime is not installed") from e
+        return onnxruntime.InferenceSession(self.path, providers=["CPUExecutionProvider"])
+
+    def score(self, state: Any, rows: pd.DataFrame) -> pd.DataFrame:
+        name = state.get_inputs()[0].name
+        return pd.DataFrame(self.finish([state.run(None, {name: x}) for x in self.prepare(rows)], rows))
+
+
 class Precomputed:
     """Test scorer: looks a row's ``key_col`` up in a fixed table of values."""
 

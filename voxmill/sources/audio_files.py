@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..audio.pcm import cut, decode_wav, encode_wav, resample
+from ..audio.pcm import cut, decode_wav, encode_wav, read_wav_span, resample, resample_polyphase
 from ..functions.ids import audio_id
 
 EXTENSIONS = ("wav", "flac", "mp3", "m4a", "ogg")
@@ -69,6 +69,23 @@ def slices(segments: DataFrame, mode: str = "truncate", rate: int = 16_000) -> D
     return segments.select("seg_id", "pcm", F.col("start_sec").cast("double"), F.col("end_sec").cast("double")).mapInArrow(rows, "seg_id string, wav binary")
 
 
+def segment_samples(segments: DataFrame) -> DataFrame:
+    """(seg_id, pcm, error): mono 16 kHz samples of each segment of rows with (seg_id, path, start_sec, end_sec), read from WAV files by offset on the executors."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for ident, path, start, end in zip(*(c.to_pylist() for c in batch.columns)):
+                pcm, error = None, None
+                try:
+                    pcm = resample_polyphase(*read_wav_span(path.removeprefix("file:"), start, end)).astype("<f4").tobytes()
+                except (ValueError, TypeError, AttributeError, OSError, struct.error) as e:
+                    error = str(e) or type(e).__name__
+                yield pa.RecordBatch.from_arrays([pa.array([ident], pa.string()), pa.array([pcm], pa.binary()), pa.array([error], pa.string())], names=["seg_id", "pcm", "error"])
+
+    narrow = segments.select("seg_id", "path", F.col("start_sec").cast("double"), F.col("end_sec").cast("double"))
+    return narrow.mapInArrow(rows, "seg_id string, pcm binary, error string")
+
+
 def transcoded(files: DataFrame, keep: list[str], content: str = "content", program: str = "ffmpeg", seconds: int = 600) -> DataFrame:
     """``keep`` columns with (wav, error): any media as mono 16 kHz 16-bit WAV bytes, by an external program on the executors.
 

@@ -23,15 +23,12 @@ def json_lines(spark: SparkSession, path: str | list[str], schema: str) -> DataF
 
 
 def score_shards(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """All shard files with ``file`` and ``line`` for last-wins merging; files whose headers differ are an error."""
-    frames = [tsv(spark, p) for p in sorted(paths)]
-    if not frames:
+    """All shard files, read together, with ``file``, ``block`` and ``line`` in whose order the last row wins; files whose headers differ are an error."""
+    if not paths:
         raise ValueError("no shard files")
-    for p, f in zip(sorted(paths), frames):
-        if f.columns != frames[0].columns:
-            raise ValueError(f"{p} has the columns {f.columns}, others {frames[0].columns}")
-    out = None
-    for k, f in enumerate(frames):
-        f = f.withColumns({"file": F.lit(k), "line": F.monotonically_increasing_id()})
-        out = f if out is None else out.unionByName(f)
-    return out
+    heads = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start")).where("start = 0")
+    first = heads.groupBy("path").agg(F.first("value").alias("head")).groupBy("head").agg(F.min("path").alias("path")).limit(2).collect()
+    if len(first) > 1:
+        raise ValueError(f"{first[0].path} has the columns {first[0]['head']!r}, {first[1].path} has {first[1]['head']!r}")
+    rows = tsv(spark, paths)
+    return rows.withColumns({"file": F.col("_metadata.file_path"), "block": F.col("_metadata.file_block_start"), "line": F.monotonically_increasing_id()})

@@ -17,24 +17,31 @@ def segment_stream(spark: SparkSession, folder: str, schema: str = SEGMENT, file
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).option("mode", "DROPMALFORMED").json(folder)
 
 
-def gate_stream(segments: DataFrame, targets: tuple[str, ...], min_prob: float = 0.90) -> DataFrame:
+def gate_stream(segments: DataFrame, targets: tuple[str, ...], min_prob: float = 0.90, keep_ms: int | None = None) -> DataFrame:
     """Segments of recordings whose first segment is in a target language (none: any) with enough probability.
 
     The first segment that a recording shows decides for all later ones; within
-    one trigger the earliest start is first. The decision is the recording's state.
+    one trigger the earliest start is first. The decision is the recording's state;
+    with ``keep_ms`` it is dropped when no segment has come for so long, which bounds
+    the state, and a later segment decides anew.
     """
 
     def one(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         pdf = pd.concat(list(frames)).sort_values("seg_start", kind="stable")
         if state.exists:
             lang, prob = state.get
         else:
             lang, prob = pdf["lang"].iloc[0], float(pdf["lang_prob"].iloc[0] or 0)
             state.update((lang, prob))
+        if keep_ms is not None:
+            state.setTimeoutDuration(keep_ms)
         if (not targets or lang in targets) and prob >= min_prob:
             yield pdf.assign(lang=lang, lang_prob=prob)
 
-    return segments.groupBy("wav_uuid").applyInPandasWithState(one, segments.schema, "lang string, prob double", "append", GroupStateTimeout.NoTimeout)
+    return segments.groupBy("wav_uuid").applyInPandasWithState(one, segments.schema, "lang string, prob double", "append", GroupStateTimeout.NoTimeout if keep_ms is None else GroupStateTimeout.ProcessingTimeTimeout)
 
 
 def gate_batch(segments: DataFrame, targets: tuple[str, ...], min_prob: float = 0.90) -> DataFrame:
