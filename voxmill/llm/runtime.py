@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import gc
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -13,41 +14,25 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..materialize import materialize, shared_folder
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The folder that the session names in ``spark.checkpoint.dir``.
-
-    Only a single-machine session (``local[...]``) without the setting gets a
-    temporary folder; a cluster without it is an error, since a folder of one
-    machine cannot be read by the others.
-    """
-    sc = spark.sparkContext
-    named = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        if not sc._jsc.sc().getCheckpointDir().isDefined():
-            sc.setCheckpointDir(named)
-        return named
-    current = sc._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
-    if not sc.master.startswith("local[") and sc.master != "local":
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    made = tempfile.mkdtemp(prefix="voxmill-checkpoint-")
-    sc.setCheckpointDir(made)
-    return made
+_stored: list[tuple[SparkSession, str]] = []
 
 
 def cut(df: DataFrame) -> DataFrame:
     """``df`` computed once and stored in the shared checkpoint folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return materialize(df)
 
 
 def store(df: DataFrame) -> tuple[DataFrame, str]:
-    """``df`` written once as a Parquet table in the shared checkpoint folder, smaller than a checkpoint, and the table's place."""
+    """``df`` written once as a Parquet table in the shared checkpoint folder, smaller than a checkpoint, and the table's place.
+
+    Results may read it at any time, so it stays until the program ends.
+    """
     spark = df.sparkSession
-    place = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    place = f"{shared_folder(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.parquet(place)
+    _stored.append((spark, place))
     return spark.read.parquet(place), place
 
 
@@ -57,6 +42,13 @@ def discard(spark: SparkSession, place: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@atexit.register
+def _clean() -> None:
+    for spark, place in _stored:
+        with contextlib.suppress(Exception):  # the session may have ended before
+            discard(spark, place)
+
+
 def tasks(spark: SparkSession) -> int:
     """The number of shuffle partitions; given to ``repartition`` it keeps small but costly partitions from being merged."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
