@@ -25,15 +25,17 @@ _RATE = 0.1
 _COUNT_ROWS = 1 << 18
 _SLICE = 4096
 _NEVER = -30.0
+_SLOT_BITS = 18
 
 
 class Lexicon(NamedTuple):
     """The most frequent words by sorted hash, with class and log P(word | class); ``mass`` has each class's count of all words.
 
-    Other words' counts stay in the table of counts and are joined to the documents.
+    ``slot`` tells where the words begin whose hash starts with the bits of its index. Other words' counts stay in the table of counts and are joined to the documents.
     """
 
     word: np.ndarray
+    slot: np.ndarray
     cls: np.ndarray
     logp: np.ndarray
     mass: np.ndarray
@@ -60,7 +62,8 @@ def lexicon(word: np.ndarray, count: np.ndarray, hashed: np.ndarray, classes: in
     mass[cls[rank[:own]]] = count[rank[:own]]
     order = np.argsort(word)
     word, count, cls = word[order], count[order].astype(np.float64), cls[order]
-    return Lexicon(word, cls, np.log(count / mass[cls]), mass, classes, own)
+    slot = np.searchsorted(word >> np.uint64(64 - _SLOT_BITS), np.arange((1 << _SLOT_BITS) + 1, dtype=np.uint64)).astype(np.int32)
+    return Lexicon(word, slot, cls, np.log(count / mass[cls]), mass, classes, own)
 
 
 def classify(lex: Lexicon, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -68,9 +71,16 @@ def classify(lex: Lexicon, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     cls = class_of(value, lex.classes, lex.own)
     if not len(lex.word):
         return cls, np.zeros(len(value)), np.zeros(len(value), bool)
-    at = np.minimum(np.searchsorted(lex.word, value), len(lex.word) - 1)
-    hit = lex.word[at] == value
-    return np.where(hit, lex.cls[at], cls), np.where(hit, lex.logp[at], 0.0), hit
+    cell = (value >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
+    at = np.minimum(lex.slot.take(cell), len(lex.word) - 1)
+    hit = lex.word.take(at) == value
+    left = np.flatnonzero(~hit)
+    while len(left := left[at[left] + 1 < lex.slot[cell[left] + 1]]):
+        at[left] += 1
+        same = lex.word[at[left]] == value[left]
+        hit[left[same]] = True
+        left = left[~same]
+    return np.where(hit, lex.cls.take(at), cls), np.where(hit, lex.logp.take(at), 0.0), hit
 
 
 class Network(NamedTuple):
@@ -103,7 +113,10 @@ def fresh_network(classes: int, members: int = MEMBERS, hidden: int = HIDDEN, se
 def hidden_layer(net: Network, context: np.ndarray) -> np.ndarray:
     """(n, 2 * hidden) of contexts (n, 4): left near, left far, right near, right far."""
     e = net.embed
-    x = np.concatenate([e[k, 0][context[:, 2 * k]] + e[k, 1][context[:, 2 * k + 1]] for k in (0, 1)], axis=1)
+    wide = e.shape[3]
+    x = np.empty((len(context), 2 * wide), e.dtype)
+    for k in (0, 1):
+        np.add(e[k, 0].take(context[:, 2 * k], axis=0), e[k, 1].take(context[:, 2 * k + 1], axis=0), out=x[:, k * wide : (k + 1) * wide])
     x += net.shift
     return np.tanh(x, out=x)
 
@@ -115,14 +128,20 @@ def _by_group(net: Network, target: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return order, np.searchsorted(group[order], np.arange(net.inner.shape[0] + 1)), group
 
 
-def _softmax(logits: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(log-probability of each target, probabilities in place of the logits); logits count as at least -30 and at most 30."""
+def _exp_logits(logits: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(log-probability of each target, sums of what is then in place of the logits, their exponentials); logits count as at least -30 and at most 30."""
     np.clip(logits, _NEVER, -_NEVER, out=logits)
     picked = logits[np.arange(len(target)), target].astype(np.float64)
     np.exp(logits, out=logits)
     total = logits @ np.ones(logits.shape[1], logits.dtype)
+    return picked - np.log(total), total
+
+
+def _softmax(logits: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(log-probability of each target, probabilities in place of the logits)."""
+    logp, total = _exp_logits(logits, target)
     logits /= total[:, None]
-    return picked - np.log(total), logits
+    return logp, logits
 
 
 def _inner_logits(net: Network, h: np.ndarray, cuts: np.ndarray) -> np.ndarray:
@@ -139,7 +158,7 @@ def log_probabilities(net: Network, context: np.ndarray, target: np.ndarray) ->
     """log P(target class | context classes)."""
     order, cuts, group = _by_group(net, target)
     h = hidden_layer(net, context[order])
-    logp = _softmax(h @ net.outer + net.outer_bias, group[order])[0] + _softmax(_inner_logits(net, h, cuts), target[order] % net.inner.shape[2])[0]
+    logp = _exp_logits(h @ net.outer + net.outer_bias, group[order])[0] + _exp_logits(_inner_logits(net, h, cuts), target[order] % net.inner.shape[2])[0]
     out = np.empty(len(target))
     out[order] = logp
     return out
@@ -152,7 +171,7 @@ def loss_and_gradient(net: Network, context: np.ndarray, target: np.ndarray) ->
     """
     n = len(target)
     order, cuts, group = _by_group(net, target)
-    context, target, group = context[order], target[order], group[order]
+    context, target, group = context.take(order, axis=0), target[order], group[order]
     h = hidden_layer(net, context)
     logp, p = _softmax(h @ net.outer + net.outer_bias, group)
     p[np.arange(n), group] -= 1
@@ -171,14 +190,13 @@ def loss_and_gradient(net: Network, context: np.ndarray, target: np.ndarray) ->
         back[x] += q[x] @ net.inner[g].T
     h *= h
     back -= back * h
-    wide = back.shape[1] // 2
+    sides = [np.ascontiguousarray(x) for x in np.split(back, 2, axis=1)]
     embed = []
-    for k in range(4):
-        order = np.argsort(context[:, k].astype(np.uint16), kind="stable")
-        cls = context[order, k]
+    for k, column in enumerate(np.ascontiguousarray(context.T)):
+        order = np.argsort(column.astype(np.uint16), kind="stable")
+        cls = column[order]
         first = np.flatnonzero(np.concatenate([[True], cls[1:] != cls[:-1]]))
-        side = k // 2
-        embed.append((cls[first], np.add.reduceat(back[order, side * wide : (side + 1) * wide], first, axis=0)))
+        embed.append((cls[first], np.add.reduceat(sides[k // 2].take(order, axis=0), first, axis=0)))
     return -float((logp + more).mean()), Network(embed, back.sum(axis=0), outer, outer_bias, inner, inner_bias)
 
 
