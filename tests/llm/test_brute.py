@@ -268,6 +268,60 @@ def test_hot_tokens_and_repeated_ids(spark, monkeypatch):
     assert {(r.first_word, r.end_word) for r in found if r.doc_id == 200} == {(0, 60)}
 
 
+def test_links_of_hot_tokens(spark, monkeypatch):
+    """Documents whose passages have hot tokens only: as one network over all of them, and edited copies as without hot tokens."""
+    rng = random.Random(16)
+    words = [f"v{k}" for k in range(20000)]
+    draw = lambda n: [rng.choice(words) for _ in range(n)]
+    value = lambda w: shingles(find_words(np.frombuffer(x := " ".join(w).encode(), np.uint8), np.array([0, len(x)])), 8)[0]
+    monkeypatch.setattr(passages, "_HOT_SAMPLE", 0.999)
+    block, rows, edits = draw(30), [], {}
+    for family in range(4):
+        p = draw(20) + block + draw(20)
+        for j in range(45):
+            copy = edited(rng, p, 0.04 if j >= 40 else 0, words)
+            if j >= 40 and passages.aligned_passages(value(p), value(copy), 0, 50, 8, passages.SHARE):
+                edits[len(rows)] = family
+            rows.append((len(rows), " ".join(draw(40) + copy + draw(40))))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    for options in ({"hot": 20}, {"pairwise": 16}, {"hot": 20, "pairwise": 16}):
+        network = list(range(len(rows)))
+
+        def root(k):
+            while network[k] != k:
+                k = network[k]
+            return k
+
+        for r in passages.repeated_passages(df, **options).collect():
+            assert r.doc_id // 45 == r.other_doc_id // 45
+            network[root(r.doc_id)] = root(r.other_doc_id)
+        for family in range(4):
+            assert len({root(45 * family + j) for j in range(40)}) == 1
+        assert len(edits) > 8 and sum(root(k) == root(45 * family) for k, family in edits.items()) >= 0.97 * len(edits)
+
+
+def test_second_tokens_of_verified_passages():
+    """Windows of a token that lie in one verified passage meet by a second token."""
+    rng = random.Random(17)
+    words = [f"v{k}" for k in range(20000)]
+    met = 0
+    for _ in range(60):
+        p = [rng.choice(words) for _ in range(60)]
+        texts = [" ".join([f"x{j}_{k}" for k in range(50)] + c + [f"y{j}_{k}" for k in range(50)]) for j, c in enumerate((p, edited(rng, p, 0.05, words)))]
+        a, b = passages._tokens(pa.array(texts, pa.large_string()), 8)
+        for x, y, _ in passages.aligned_passages(a, b, 0, 50, 8, passages.SHARE):
+            for c in (k for k in range(x, y + 1) if a[k] == b[k]):
+                window = [{"token": 0, "place": c << 24 | 43 << 8 | 43, "kind": 3}]
+                batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(texts), pa.array([window, window], pa.list_(pa.struct({"token": pa.int64(), "place": pa.int64(), "kind": pa.int8()})))], names=["doc_id", "text", "windows"])
+                keys: dict[int, set] = {1: set(), 2: set()}
+                for out in passages._around_rows(iter([batch]), 43, 8, 1):
+                    for token, doc in zip(out.column(0).to_pylist(), out.column(1).to_pylist()):
+                        keys[doc].add(token)
+                assert keys[1] & keys[2]
+                met += 1
+    assert met > 100
+
+
 def test_edited_passages(spark):
     rng = random.Random(4)
     words = [f"v{k}" for k in range(5000)]
