@@ -322,6 +322,22 @@ def test_second_tokens_of_verified_passages():
     assert met > 100
 
 
+def test_alike_windows_of_large_groups_meet_as_neighbours():
+    """Pairs of alike windows in a large group are linked without comparing all with all, and to no other window."""
+    rng = np.random.default_rng(3)
+    n, compared = 6000, []
+    words = rng.integers(0, 1 << 42, (n // 2, 2)).repeat(2, axis=0)
+    place = np.full(n, 100 << 24 | 43 << 8 | 43)
+    cols = [np.zeros(n, np.int64), np.arange(n), place, words[:, 0], words[:, 1], np.full(n, 42 << 8 | 42)]
+    batch = pa.RecordBatch.from_arrays([pa.array(x) for x in cols], names=["token", "doc_id", "place", "front", "back", "ends"])
+    alike = passages._alike
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(passages, "_alike", lambda *a: compared.append(len(a[4])) or alike(*a))
+        out = pa.Table.from_batches(passages._linked_rows(iter([batch]), 43, 8))
+    assert {(2 * k, 2 * k + 1) for k in range(n // 2)} == set(zip(out["a"].to_pylist(), out["b"].to_pylist()))
+    assert sum(compared) < 20 * n
+
+
 def test_edited_passages(spark):
     rng = random.Random(4)
     words = [f"v{k}" for k in range(5000)]
