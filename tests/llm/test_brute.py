@@ -410,6 +410,23 @@ def test_quality_held_out(spark):
     assert share(lambda x: x[0]) > 0.97 and share(lambda x: not x[0]) < 0.2 and share(lambda x: x[1]) < 0.35
 
 
+def test_quality_fits_all_labelled_documents(spark):
+    """Shards of any size together take every labelled document, and a shard of all gives the weights of the dense fit."""
+    rng = random.Random(3)
+    rows = [(k, " ".join(rng.choice(["alpha", "beta", "awful" if k % 3 == 0 else "fine"]) for _ in range(20))) for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    labels = spark.createDataFrame([(k, int(k % 3 > 0), 0) for k in range(300)], "doc_id bigint, quality int, toxic int")
+    one, many = quality.train(docs, labels), quality.train(docs, labels, shard=40)
+    assert one.word.tolist() == many.word.tolist() and len(one.word) and one.level == pytest.approx(many.level)
+    assert np.corrcoef(one.weight[: len(one.word)], many.weight[: len(one.word)])[0, 1] > 0.9
+    assert np.allclose(one.mean, many.mean)
+    x = np.random.default_rng(1).random((200, 5)).astype(np.float32)
+    good = x[:, 0] > x[:, 1]
+    scale = x.std(axis=0, dtype=np.float64)
+    weight, _ = quality.fit_sparse(np.arange(201) * 3, np.tile(np.arange(3, dtype=np.int32), 200), x[:, :3].ravel(), x[:, 3:].astype(np.float64), good, 3)
+    assert np.allclose(weight, quality.fit_pairs((x - x.mean(axis=0)) / scale.astype(np.float32), good) / scale, rtol=1e-2, atol=1e-2)
+
+
 def test_threshold_against_all_cuts():
     rng = random.Random(5)
     for _ in range(60):
