@@ -13,7 +13,7 @@ import sentencepiece
 import sp_model
 from pyspark.sql import functions as F
 
-from voxmill.llm import components, decontam, lm_score, media, near_dup, passages, quality, registry, sampling, secrets, token_counts, unigram, warc
+from voxmill.llm import components, decontam, lm_score, media, near_dup, passages, quality, registry, runtime, sampling, secrets, token_counts, unigram, warc
 from voxmill.llm.words import find_words, shingles
 
 WORD = re.compile(r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
@@ -643,6 +643,15 @@ def test_samples_do_not_depend_on_company(model):
     assert [(a[0].tolist(), round(a[2], 9)) for a in alone] == [(a[0].tolist(), round(a[2], 9)) for a in among]
 
 
+def test_workers_give_up_what_other_operators_keep(texts):
+    rows = pa.record_batch({"doc_id": list(texts), "text": list(texts.values())})
+    with open(token_counts.MODEL, "rb") as f:
+        list(sampling._sample_rows(iter([rows]), f.read(), 2, 0.5, 1))
+    assert set(runtime.kept) == {"sampling"}
+    assert sum(b.num_rows for b in near_dup._signature_rows(iter([rows]), 3, 192, 48, 1024)) > 0
+    assert not runtime.kept
+
+
 def test_gradient_and_learning(texts):
     net = lm_score.Network(*(x.astype(np.float64) for x in lm_score.fresh_network(9, members=4, hidden=5)))
     r = np.random.default_rng(0)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import components
-from .runtime import among, as_documents, cut, release, store, unused, without_ids
+from .runtime import among, as_documents, cut, release, store, task, unused, without_ids
 from .words import find_words, mix64, numbers, shingles, text_chunks
 
 SHINGLE = 3
@@ -82,6 +82,7 @@ def _matrix(column: pa.Array, kind: type) -> np.ndarray:
     return np.frombuffer(column.buffers()[2], np.uint8)[offs[0] : offs[-1]].reshape(len(column), -1).copy().view(kind)
 
 
+@task()
 def _signature_rows(batches: Iterator[pa.RecordBatch], q: int, hashes: int, bands: int, bits: int) -> Iterator[pa.RecordBatch]:
     """Sketch and band keys of each document; one whose bands all equal those of an earlier one of the task only names that one."""
     seen: dict[bytes, int] = {}
@@ -106,6 +107,7 @@ def _signature_rows(batches: Iterator[pa.RecordBatch], q: int, hashes: int, band
                 yield pa.RecordBatch.from_arrays([pa.array(own[rest]), pa.array(leader[rest]), none, none], names=["doc_id", "same_as", "sketch", "bands"])
 
 
+@task()
 def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
@@ -117,6 +119,7 @@ def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _MET = "a bigint, b bigint, place bigint"
 
 
+@task()
 def _met_rows(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[pa.RecordBatch]:
     """What the buckets of a partition sorted by (band, doc_id) have to compare; a bucket of any size is read as it comes."""
     last, held, done = None, np.zeros(0, np.int64), 0  # the bucket at the end of what was read: its members not yet given out, and how many were
@@ -154,6 +157,7 @@ def _met_rows(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[pa.Reco
         yield from give(last, held, done, False)
 
 
+@task()
 def _compared(batches: Iterator[pa.RecordBatch], most: int, maybe: int) -> Iterator[pa.RecordBatch]:
     """(a, b, odd_bits) of rows (a, b, sketch_a, sketch_b) with at most ``maybe`` odd bits."""
     for batch in batches:
@@ -223,6 +227,7 @@ def _edge_batch(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.Re
     )
 
 
+@task()
 def _linked(batches: Iterator[pa.RecordBatch], most: int, maybe: int) -> Iterator[pa.RecordBatch]:
     """Edges of the buckets of a partition of rows (band, low, high, doc_id, sketch) that is sorted by the first three; a bucket may span batches."""
     held: list[pa.RecordBatch] = []
@@ -252,6 +257,7 @@ def _linked(batches: Iterator[pa.RecordBatch], most: int, maybe: int) -> Iterato
         yield from parts(held)
 
 
+@task()
 def _exact(batches: Iterator[pa.RecordBatch], q: int, threshold: float) -> Iterator[pa.RecordBatch]:
     """(a, b) of rows (a, b, text_a, text_b) whose word shingles have a Jaccard similarity of at least ``threshold``."""
     for batch in batches:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .runtime import bit_set, maybe_in, release, store
+from .runtime import bit_set, give_back, maybe_in, release, store, task
 from .words import Words, find_words, stems, text_chunks
 
 SHARD = 12_000
@@ -99,6 +99,7 @@ def _read(column: pa.Array) -> Iterator[tuple[int, int, Words, np.ndarray, np.nd
 _SUMS = ("n", "s", "q")
 
 
+@task()
 def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(term, part, n, s, q) of rows (part, text): documents of a part that have the term, sums of its root shares and of their squares."""
     for batch in batches:
@@ -137,6 +138,7 @@ def significant_terms(sample: DataFrame, n_bad: int, n_good: int, min_z: float)
     return np.sort(found.column("term").to_numpy().astype(np.uint32))
 
 
+@task()
 def _feature_rows(batches: Iterator[pa.RecordBatch], word: np.ndarray) -> Iterator[pa.RecordBatch]:
     """(part, place, share, style) of rows (part, text): the places in ``word`` of a document's terms, and their root shares."""
     for batch in batches:
@@ -310,7 +312,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     place = F.struct(F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(shards)).alias("shard"), "doc_id", (F.col("part") == 1).alias("good"))
     rows = sample.where("part < 2").select(place.alias("part"), "text")
     rows = rows.mapInArrow(lambda it: _feature_rows(it, sent.value), "part struct<shard:bigint,doc_id:bigint,good:boolean>, place binary, share binary, style binary")
-    fitted = rows.select("part.*", "place", "share", "style").groupBy("shard").applyInArrow(lambda t: _fit_shard(t, n_words), "n bigint, weight binary, mean binary").toArrow().sort_by([("n", "ascending"), ("weight", "ascending")])
+
+    def fit(table: pa.Table) -> pa.Table:
+        out = _fit_shard(table, n_words)
+        give_back()
+        return out
+
+    fitted = rows.select("part.*", "place", "share", "style").groupBy("shard").applyInArrow(fit, "n bigint, weight binary, mean binary").toArrow().sort_by([("n", "ascending"), ("weight", "ascending")])
     if not fitted.num_rows:
         return none
     n = fitted["n"].to_numpy()
@@ -324,6 +332,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return model._replace(limit=quantile_limit(score, level), level=level)
 
 
+@task()
 def _part_scores(batches: Iterator[pa.RecordBatch], scorer: Scorer) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_scores(batch.column(1), scorer))], names=["part", "score"])
@@ -341,6 +350,7 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
     rows = docs.select(F.col(f"`{id_col}`").cast("bigint"), F.col(f"`{text_col}`").cast("string"))
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
+    @task()
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(sent.value)
         for batch in batches:
@@ -378,6 +388,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     sent = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index(text_col)
 
+    @task()
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(sent.value)
         for batch in batches:

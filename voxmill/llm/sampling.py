@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .runtime import kept, task
 from .token_counts import MODEL
 from .unigram import SPACE, UNIT, Lattices, Vocabulary, decode, parse
 from .words import mix64
@@ -375,18 +376,16 @@ def _inclusion(logp: float, threshold: float) -> float:
 _SCHEMA = "doc_id bigint, sample int, ids array<int>, log_prob double, perturbed double, log_inclusion double, decoded boolean"
 
 
-_kept: dict[tuple, Sampler] = {}
-
-
 def _sampler(model: bytes, samples: int, theta: float, seed: int) -> Sampler:
     """One sampler for a worker's tasks, with what it remembers of chunks."""
     key = (hash(model), samples, theta, seed)
-    if key not in _kept:
-        _kept.clear()
-        _kept[key] = Sampler(model, samples, theta, seed)
-    return _kept[key]
+    if "sampling" not in kept or kept["sampling"][0] != key:
+        kept.clear()
+        kept["sampling"] = key, Sampler(model, samples, theta, seed)
+    return kept["sampling"][1]
 
 
+@task("sampling")
 def _sample_rows(batches: Iterator[pa.RecordBatch], model: bytes, samples: int, theta: float, seed: int) -> Iterator[pa.RecordBatch]:
     sampler = _sampler(model, samples, theta, seed)
     for batch in batches:
