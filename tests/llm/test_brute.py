@@ -636,6 +636,16 @@ def test_samples_follow_the_distribution(model, text):
     assert abs(first - p).sum() / 2 < 0.03 and abs(second - want).sum() / 2 < 0.05 and np.mean(weight) == pytest.approx(1, abs=0.03)
 
 
+def test_chunks_are_cut_and_numbered_in_one_pass(model):
+    lattices = unigram.Lattices(unigram.parse(model), trie=True)
+    for text in ("", " ", "a", "a b", " a b", "a  b", "a b ", "a\nb \u2581c", "a\u00a0b c"):
+        marked = unigram.SPACE + text.replace(" ", unigram.SPACE) if text else ""
+        assert lattices.chunks(text) == (unigram._CHUNK.findall(marked) if lattices.separable else [marked] if marked else [])
+    tables = sampling.Tables(lattices, 0.5)
+    assert tables.numbers(iter(["a", "b", "a", "c"]), 4).tolist() == [0, 1, 0, 2] and tables.numbers(iter(["c", "d"]), 2).tolist() == [2, 3]
+    assert tables.chunks == 4 and tables.size[:4].tolist() == [1, 1, 1, 1] and not tables.number.new
+
+
 def test_samples_do_not_depend_on_company(model):
     sampler = sampling.Sampler(model, 2, 0.5, 1)
     alone = sampler(np.array([7]), ["some words here"])[0]

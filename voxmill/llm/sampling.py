@@ -31,6 +31,18 @@ def uniform(key: np.ndarray, place: np.ndarray, salt: int) -> np.ndarray:
     return ((h >> np.uint64(12)).astype(np.float64) + 0.5) * 2.0**-52
 
 
+class Numbers(dict):
+    """Numbers chunks as they are first asked for; those new since ``new`` was last emptied are listed there."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, chunk: str) -> int:
+        self.new.append(chunk)
+        self[chunk] = number = len(self)
+        return number
+
+
 class Tables:
     """Backward transition probabilities of the lattices of distinct chunks; new chunks are appended.
 
@@ -54,8 +66,8 @@ class Tables:
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[str, int] = {}
-        self.edges = self.nodes = 0
+        self.number = Numbers()
+        self.edges = self.nodes = self.chunks = 0
         self.first[0] = 0
 
     def _put(self, name: str, at: int, values: np.ndarray) -> None:
@@ -65,8 +77,19 @@ class Tables:
             setattr(self, name, held)
         held[at : at + len(values)] = values
 
+    def numbers(self, chunks: Iterator[str], count: int) -> np.ndarray:
+        """The numbers of so many chunks; new ones are learnt."""
+        try:
+            out = np.fromiter(map(self.number.__getitem__, chunks), np.int64, count)
+            new, self.number.new = self.number.new, []
+            self.learn(new)
+        except BaseException:
+            self.clear()  # else there would be numbers without tables
+            raise
+        return out
+
     def learn(self, chunks: list[str]) -> None:
-        """Adds new chunks, a bounded number of characters at a time."""
+        """Adds chunks in the order of their numbers, a bounded number of characters at a time."""
         total = np.cumsum(np.fromiter(map(len, chunks), np.int64, len(chunks)))
         at = 0
         while at < len(chunks):
@@ -86,10 +109,13 @@ class Tables:
             most = np.maximum.reduceat(term, first)
             term -= np.repeat(most, np.diff(np.append(first, b - a)))
             alpha[end[first]] = most + np.log(np.add.reduceat(np.exp(term), first))
-        order = np.argsort(e.end, kind="stable")
+        # Edges with one end stand together: each such run moves to the place of its end.
+        first = np.concatenate([[0], np.cumsum(np.bincount(e.end, minlength=n))])
+        run = np.flatnonzero(np.concatenate([[True], e.end[1:] != e.end[:-1]]))
+        order = np.empty(len(e.end), np.int64)
+        order[np.arange(len(order)) + np.repeat(first[e.end[run]] - run, np.diff(np.append(run, len(order))))] = np.arange(len(order))
         start, end = e.start[order], e.end[order]
         logp = np.minimum(alpha[start] + score[order] - alpha[end], 0.0)
-        first = np.concatenate([[0], np.cumsum(np.bincount(end, minlength=n))])
         logp[first[1:][np.diff(first) == 1] - 1] = 0.0
         whole = np.concatenate([[0.0], np.cumsum(np.exp(logp))])
         before = whole[first[end]]
@@ -98,12 +124,11 @@ class Tables:
         for name, values in (("logp", logp), ("ladder", share), ("piece", e.piece[order]), ("length", end - start)):
             self._put(name, self.edges, values)
         self._put("first", self.nodes + 1, first[1:] + self.edges)
-        self._put("base", len(self.number), e.base + self.nodes)
-        self._put("size", len(self.number), e.size)
+        self._put("base", self.chunks, e.base + self.nodes)
+        self._put("size", self.chunks, e.size)
         self.edges += len(logp)
         self.nodes += n
-        for c in chunks:
-            self.number[c] = len(self.number)
+        self.chunks += len(chunks)
 
 
 class Path(NamedTuple):
@@ -199,12 +224,9 @@ class Sampler:
         parts = [self.lattices.chunks(x) for x in texts]
         if t.edges > _KEPT_EDGES:
             t.clear()
-        new = list(set().union(*parts).difference(t.number))
-        if new:
-            t.learn(new)
         key = mix64(keys.astype(np.int64).view(np.uint64) + np.uint64(self.seed))
         root = -np.log(-np.log(uniform(key, np.zeros(n, np.int64), 1)))
-        chunk = np.fromiter(map(t.number.__getitem__, itertools.chain.from_iterable(parts)), np.int64, sum(map(len, parts)))
+        chunk = t.numbers(itertools.chain.from_iterable(parts), sum(map(len, parts)))
         of = np.repeat(np.arange(n), [len(p) for p in parts])
         del parts
         size, base = t.size[chunk], t.base[chunk]
@@ -356,11 +378,11 @@ class Sampler:
             out, at = [], 0
             plain = v._replace(dummy_prefix=False)
             for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
-                out += [*self.pieces[ids[at:a]], decode(plain, ids[a:b].tolist())]
+                out += [*self.pieces[ids[at:a]].tolist(), decode(plain, ids[a:b].tolist())]
                 at = b
-            text = "".join([*out, *self.pieces[ids[at:]]])
+            text = "".join([*out, *self.pieces[ids[at:]].tolist()])
         else:
-            text = "".join(self.pieces[ids])
+            text = "".join(self.pieces[ids].tolist())
         text = text.replace(SPACE, " ")
         return text[1:] if v.dummy_prefix and text.startswith(" ") else text
 
