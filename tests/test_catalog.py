@@ -54,6 +54,16 @@ def test_no_wide_rows_are_sorted_or_fetched(spark, data):
         assert "SortAggregate" not in plan and "TakeOrdered" not in plan, name
 
 
+def one_pass(spark, data, name):
+    """Whether the tables to merge are read once each, lie together by recording and are neither shuffled again by segment nor joined."""
+    plan = entry.queries()[name](spark, data)._jdf.queryExecution().executedPlan().toString()
+    return plan.count("FileScan") == plan.count("Exchange hashpartitioning(audio_id") == 2 and "Join" not in plan and "seg_id#" not in "".join(x for x in plan.split("\n") if "ENSURE_REQ" in x)
+
+
+def test_scores_are_merged_in_one_pass(spark, data):
+    assert one_pass(spark, data, "merge_scores_in_order")
+
+
 def test_pushdown(spark, data):
     plan = entry.queries()["lid_probe_longest"](spark, data)._jdf.queryExecution().executedPlan().toString()
     assert "text" not in plan.split("ReadSchema")[1].split("\n")[0]

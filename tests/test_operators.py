@@ -5,7 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from voxmill.materialize import with_row_number
+from voxmill.functions.ids import segment_id
+from voxmill.materialize import ROWS_A_TASK, spread, with_row_number
 from voxmill.operators import export, language, merge, quality, segments, speaker, training
 
 SEGMENT = "seg_id string, audio_id string, path string, seg_idx bigint, start_sec double, end_sec double, duration_sec double, mos_ovr double, mos_sig double, mos_bak double"
@@ -100,6 +101,27 @@ def test_merge_counts_and_unique_order(spark):
         assert {r.seg_id: r.v for r in merge.last_of(got, ["seg_id"], ["file", "line"], unique).collect()} == {"s0": 2.0, "s1": 3.0, "x": 4.0}
 
 
+def test_scores_of_edges(spark):
+    """Repeated and null segments, a last score that is null, orders beyond 19 digits together, sorted by recording and ordinal."""
+    want = spark.createDataFrame([("s2", "b", 0), ("s0", "a", 1), ("s0", "a", 1), ("s1", "a", 0), (None, "a", 2), ("s3", "a", 3), ("s4", None, 0)], "seg_id string, audio_id string, seg_idx int")
+    got = spark.createDataFrame([("s0", "a", 1.0, "x", 9, 2**62), ("s0", "a", 2.0, "y", 10, 0), ("s1", "a", 3.0, "z", 2**62, 1), ("s1", "a", None, "n", 2**62, 2), (None, "a", 5.0, "o", 0, 0), ("s2", "b", 6.0, None, 0, 0), ("s4", None, 7.0, "p", 0, 0)], "seg_id string, audio_id string, v double, t string, file bigint, line bigint")
+    rows = [("s1", "a", 0, None, "n"), ("s0", "a", 1, 2.0, "y"), ("s0", "a", 1, 2.0, "y"), ("s2", "b", 0, 6.0, None)]
+    pick = lambda df: [tuple(r) for r in df.select("seg_id", "audio_id", "seg_idx", "v", "t").collect()]
+    assert pick(merge.merge_scores(want, got.drop("audio_id"), ["file", "line"])) == [("s4", None, 0, 7.0, "p"), *rows]
+    assert pick(merge.merge_scores(want, got, ["file", "line"], keys=("audio_id", "seg_id"))) == rows
+    assert pick(merge.merge_scores(want, got.limit(0), ["file", "line"], keys=("audio_id", "seg_id"))) == []
+
+
+def test_segment_ids(spark):
+    df = spark.createDataFrame([("a", 0), ("a", 999), ("a", 1000), ("a", 123456), ("a", -1), (None, 3)], "a string, k bigint")
+    assert [r.s for r in df.select(segment_id(F.col("a"), F.col("k")).alias("s")).collect()] == ["a_seg000", "a_seg999", "a_seg1000", "a_seg123456", "a_seg-01", None]
+
+
+def test_spread_bounds_a_task(spark):
+    parts = lambda rows: spread(spark.range(50), rows, "id").rdd.getNumPartitions()
+    assert parts(9 * ROWS_A_TASK + 1) == 10 and parts(50) == spark.sparkContext.defaultParallelism and parts(0) == parts(50)
+
+
 def test_cache_table(spark, tmp_path):
     cache = merge.CacheTable(spark, f"file://{tmp_path}/cache", "k", "k int, v string")
     assert cache.read().count() == 0

@@ -22,7 +22,10 @@ CORPUS_SPLITS = ("dev-clean", "dev-other", "test-clean", "test-other", "train-cl
 
 
 def segment_id(audio_id: Column, ordinal: Column) -> Column:
-    return F.format_string("%s_seg%03d", audio_id, ordinal)
+    """The recording's id and the ordinal in at least three digits; null without a recording. Java's formatter serves only what padding can't."""
+    digits = ordinal.cast("string")
+    padded = F.when(ordinal.between(0, 999), F.lpad(digits, 3, "0")).when(ordinal >= 1000, digits).otherwise(F.format_string("%03d", ordinal))
+    return F.concat(audio_id, F.lit("_seg"), padded)
 
 
 def member_uuid(tar_path: Column, member: Column) -> Column:

@@ -4,41 +4,54 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.numbers import millis
 from ..materialize import exists
 
 
-_WHOLE = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
-
-
 def last_of(rows: DataFrame, keys: list[str], order: list[str], unique: bool = False) -> DataFrame:
     """One row for each key: the last in the given order.
 
-    If the order tells all rows of a key apart (``unique``) and is of one or two whole
-    nonnegative numbers, it is packed into one, whose maximum is hashed and joined
-    back, so that wide rows are neither sorted nor aggregated.
+    If the order tells all rows of a key apart (``unique``), rows are sorted by key and
+    order once; the sort by key serves a join that follows, and of rows that are not yet
+    together by key only a task's last ones are shuffled.
     """
-    kinds = dict(rows.dtypes)
-    if unique and len(order) <= 2 and all(kinds[c] in _WHOLE for c in order):
-        packed = F.col(order[0]).cast("decimal(38,0)")
-        for c in order[1:]:
-            packed = (packed * F.expr("10000000000000000000BD") + F.col(c)).cast("decimal(38,0)")
-        held = rows.withColumn("__at", packed)
-        return held.join(held.groupBy(*keys).agg(F.max("__at").alias("__at")), [*keys, "__at"]).select(*keys, *(c for c in rows.columns if c not in keys))
+    if unique:
+        at = F.row_number().over(Window.partitionBy(*keys).orderBy(*(F.col(c).desc() for c in order)))
+        return rows.withColumn("__at", at).where("__at = 1").select(*keys, *(c for c in rows.columns if c not in keys))
     row = F.struct(*(c for c in rows.columns if c not in keys))
     return rows.groupBy(*keys).agg(F.max_by(row, F.struct(*order)).alias("r")).select(*keys, "r.*")
 
 
-def merge_scores(expected: DataFrame, scores: DataFrame, order: list[str], sort: bool = True) -> DataFrame:
+def with_last(expected: DataFrame, results: DataFrame, keys: list[str], values: list[str], order: list[str]) -> DataFrame:
+    """All expected rows, in ``__r`` the values of their key's last result in the given order; null without one or with a null key.
+
+    Both sides are sorted together once and each expected row takes the last result before it. Nothing is shuffled where
+    both already lie together by some of the keys, and what can't be held is spilled.
+    """
+    at = [f"__o{k}" for k in range(len(order))]
+    side = results.select(*keys, F.struct(*values).alias("__r"), *(F.col(c).alias(o) for c, o in zip(order, at)), F.lit(0).alias("__side"))
+    both = expected.withColumn("__side", F.lit(1)).unionByName(side, allowMissingColumns=True)
+    last = F.last("__r", ignorenulls=True).over(Window.partitionBy(*keys).orderBy("__side", *at).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    return both.withColumn("__r", F.when(known, last)).where("__side = 1").select(*expected.columns, "__r")
+
+
+def merge_scores(expected: DataFrame, scores: DataFrame, order: list[str], sort: bool = True, keys: tuple[str, ...] = ("seg_id",)) -> DataFrame:
     """Scores in the order of the expected segments; a repeated segment has the last file's score, one without scores is left out.
 
     ``expected`` has seg_id and what to sort by, ``scores`` seg_id and the columns
-    ``order`` of file and line, which together tell all rows apart.
+    ``order`` of file and line, which together tell all rows apart. ``keys`` may name
+    columns of both that seg_id determines, as its recording: tables that lie together by these are not shuffled.
     """
-    last = last_of(scores, ["seg_id"], order, unique=True).drop(*order)
-    out = expected.join(last, "seg_id")
-    return out.orderBy("audio_id", "seg_idx") if sort else out
+    values = [c for c in scores.columns if c not in (*keys, *order)]
+    found = with_last(expected, scores, [*keys], values, order).where("__r IS NOT NULL")
+    out = found.select(*keys, *(c for c in expected.columns if c not in keys), "__r.*")
+    # a sort looks through its rows twice: they are set down before it, not merged twice
+    return out.repartition("seg_id").orderBy("audio_id", "seg_idx") if sort else out
 
 
 def merge_counts(expected: DataFrame, scores: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.ids import segment_id
+from ..materialize import spread
 
 _ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
 
@@ -16,11 +17,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem as segments: an order is a recording, the quantity the duration, scores come from price, discount and tax."""
+    """lineitem as segments: an order is a recording, the quantity the duration, scores come from price, discount and tax.
+
+    Rows lie together by recording. What is computed from them comes after the window, so that
+    branches of one plan with the same columns of lineitem share its exchange.
+    """
     rows = table(spark, sf_dir, "lineitem")
-    idx = (F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*_ORDER)) - 1).cast("bigint")
-    rows = rows.select(
-        F.col("l_orderkey").cast("string").alias("audio_id"), idx.alias("seg_idx"), F.col("l_quantity").alias("duration_sec"),
+    rows = spread(rows.withColumn("audio_id", F.col("l_orderkey").cast("string")), rows.count(), "audio_id")
+    idx = (F.row_number().over(Window.partitionBy("audio_id").orderBy(*_ORDER)) - 1).cast("bigint")
+    rows = rows.withColumn("seg_idx", idx).select(
+        "audio_id", "seg_idx", F.col("l_quantity").alias("duration_sec"),
         (F.lit(1.0) + (F.round(F.col("l_extendedprice") * 100).cast("bigint") % 4001) / F.lit(1000.0)).alias("mos_ovr"),
         (F.lit(1.0) + F.col("l_discount") * 40).alias("mos_sig"), (F.lit(1.0) + F.col("l_tax") * 50).alias("mos_bak"),
     )
