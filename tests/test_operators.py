@@ -112,6 +112,15 @@ def test_scores_of_edges(spark):
     assert pick(merge.merge_scores(want, got.limit(0), ["file", "line"], keys=("audio_id", "seg_id"))) == []
 
 
+def test_counts_of_edges(spark):
+    """Repeated and null segments on either side, and keys that hold the recording too."""
+    want = spark.createDataFrame([("s0", "a"), ("s0", "a"), ("s1", "a"), (None, "a")], "seg_id string, audio_id string")
+    got = spark.createDataFrame([("s0", "a"), ("s0", "a"), ("s0", "a"), (None, "a"), (None, "a"), ("x", "b")], "seg_id string, audio_id string")
+    for keys in (("seg_id",), ("audio_id", "seg_id")):
+        assert tuple(merge.merge_counts(want, got, keys).first()) == (4, 2, 2, 3)
+        assert tuple(merge.merge_counts(want.limit(0), got, keys).first()) == (0, 0, 0, 3) and tuple(merge.merge_counts(want, got.limit(0), keys).first()) == (4, 0, 4, 0)
+
+
 def test_segment_ids(spark):
     df = spark.createDataFrame([("a", 0), ("a", 999), ("a", 1000), ("a", 123456), ("a", -1), (None, 3)], "a string, k bigint")
     assert [r.s for r in df.select(segment_id(F.col("a"), F.col("k")).alias("s")).collect()] == ["a_seg000", "a_seg999", "a_seg1000", "a_seg123456", "a_seg-01", None]

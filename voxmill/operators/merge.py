@@ -54,12 +54,14 @@ def merge_scores(expected: DataFrame, scores: DataFrame, order: list[str], sort:
     return out.repartition("seg_id").orderBy("audio_id", "seg_idx") if sort else out
 
 
-def merge_counts(expected: DataFrame, scores: DataFrame) -> DataFrame:
-    """(expected, written, missing, duplicates) of a score merge: segments without scores, and score rows beyond one a segment."""
-    each = scores.groupBy("seg_id").agg(F.count("*").alias("__n"))
-    rows = expected.select("seg_id").join(each, "seg_id", "left").agg(F.count("*").alias("expected"), F.count("__n").alias("written"))
-    again = each.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("bigint").alias("duplicates"))
-    return rows.crossJoin(F.broadcast(again)).select("expected", "written", (F.col("expected") - F.col("written")).alias("missing"), "duplicates")
+def merge_counts(expected: DataFrame, scores: DataFrame, keys: tuple[str, ...] = ("seg_id",)) -> DataFrame:
+    """(expected, written, missing, duplicates) of a score merge: segments without scores, and score rows beyond one a segment; ``keys`` as in ``merge_scores``."""
+    sides = expected.select(*keys, F.lit(1).alias("__e"), F.lit(0).alias("__s")).unionByName(scores.select(*keys, F.lit(0).alias("__e"), F.lit(1).alias("__s")))
+    each = sides.groupBy(*keys).agg(F.sum("__e").alias("__e"), F.sum("__s").alias("__s"))
+    total = lambda x: F.coalesce(F.sum(x), F.lit(0)).cast("bigint")
+    known = (F.col("__s") > 0) & F.col("seg_id").isNotNull()
+    rows = each.agg(total("__e").alias("expected"), total(F.when(known, F.col("__e"))).alias("written"), total(F.greatest(F.col("__s") - 1, F.lit(0))).alias("duplicates"))
+    return rows.select("expected", "written", (F.col("expected") - F.col("written")).alias("missing"), "duplicates")
 
 
 def merge_transcripts(expected: DataFrame, results: DataFrame, order: list[str], unique: bool = False) -> DataFrame:

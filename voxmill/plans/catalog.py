@@ -260,7 +260,7 @@ def _score_files(rows):
     (SELECT count(*) - count(DISTINCT seg_id) FROM scores) AS duplicates""")
 def merge_score_counts(spark, sf_dir):
     rows = proxies.segments(spark, sf_dir)
-    return merge.merge_counts(rows, _score_files(rows))
+    return merge.merge_counts(rows, _score_files(rows), ("audio_id", "seg_id"))
 
 
 @plan(f"""WITH {SEGMENTS}, scores AS (SELECT seg_id, mos_ovr, 0 AS file FROM segments WHERE seg_idx % 5 <> 0 UNION ALL SELECT seg_id, mos_ovr + 1, 1 FROM segments WHERE seg_idx % 2 = 0),
