@@ -68,6 +68,10 @@ def test_scores_are_counted_in_one_pass(spark, data):
     assert one_pass(spark, data, "merge_score_counts")
 
 
+def test_transcripts_are_merged_in_one_pass(spark, data):
+    assert one_pass(spark, data, "merge_asr_shards")
+
+
 def test_pushdown(spark, data):
     plan = entry.queries()["lid_probe_longest"](spark, data)._jdf.queryExecution().executedPlan().toString()
     assert "text" not in plan.split("ReadSchema")[1].split("\n")[0]

@@ -121,6 +121,14 @@ def test_counts_of_edges(spark):
         assert tuple(merge.merge_counts(want.limit(0), got, keys).first()) == (0, 0, 0, 3) and tuple(merge.merge_counts(want, got.limit(0), keys).first()) == (4, 0, 4, 0)
 
 
+def test_transcripts_of_edges(spark):
+    """Repeated and null expected segments, a last result of nulls, results without a segment; further columns stay."""
+    want = spark.createDataFrame([("a0", "a", 0.0, 1.0, 7), ("a0", "a", 0.0, 1.0, 8), (" a1", "a", 1.0, 2.0, 9), ("n", None, 0.0, 1.0, 10), ("a2", "a", None, 2.0, 11)], "seg_id string, audio_id string, start_sec double, end_sec double, k int")
+    got = spark.createDataFrame([("a0", "a", 0.0, 1.0, "late", "slow", 1, 0), ("a0", "a", 0.0, 1.0, "early", None, 0, 9), ("a1 ", "a", 1.0, 2.0, None, None, 0, 1), ("a1", "a", 1.0, 2.0, "first", None, 0, 0), ("n", None, 0.0, 1.0, "x", None, 0, 0), ("a2", "a", None, 2.0, "x", None, 0, 0), ("z", "z", 0.0, 1.0, "x", None, 0, 0)], "seg_id string, audio_id string, start_sec double, end_sec double, text string, error string, file int, line int")
+    found = {r.k: (r.seg_id, r.text, r.error) for r in merge.merge_transcripts(want, got, ["file", "line"]).collect()}
+    assert found == {7: ("a0", "late", "slow"), 8: ("a0", "late", "slow"), 9: (" a1", "", None), 10: ("n", "", "missing_from_shards"), 11: ("a2", "", "missing_from_shards")}
+
+
 def test_segment_ids(spark):
     df = spark.createDataFrame([("a", 0), ("a", 999), ("a", 1000), ("a", 123456), ("a", -1), (None, 3)], "a string, k bigint")
     assert [r.s for r in df.select(segment_id(F.col("a"), F.col("k")).alias("s")).collect()] == ["a_seg000", "a_seg999", "a_seg1000", "a_seg123456", "a_seg-01", None]

@@ -64,19 +64,16 @@ def merge_counts(expected: DataFrame, scores: DataFrame, keys: tuple[str, ...] =
     return rows.select("expected", "written", (F.col("expected") - F.col("written")).alias("missing"), "duplicates")
 
 
-def merge_transcripts(expected: DataFrame, results: DataFrame, order: list[str], unique: bool = False) -> DataFrame:
+def merge_transcripts(expected: DataFrame, results: DataFrame, order: list[str]) -> DataFrame:
     """Every expected segment with its text; without a result the text is empty and the error says so; repeated results: the last counts.
 
-    ``unique`` says that ``order`` tells all results of a segment apart.
-
     Segments match on recording, times in whole milliseconds and segment id.
     """
     key = {"__s": millis(F.col("start_sec")), "__e": millis(F.col("end_sec")), "__id": F.trim(F.col("seg_id"))}
     keys = ["audio_id", *key]
-    found = last_of(results.withColumns(key).select(*keys, "text", "error", *order), keys, order, unique).drop(*order).withColumn("__hit", F.lit(True))
-    out = expected.withColumns(key).join(found, keys, "left")
-    missing = F.col("__hit").isNull()
-    return out.withColumns({"text": F.coalesce("text", F.lit("")), "error": F.when(missing, F.lit("missing_from_shards")).otherwise(F.col("error"))}).drop("__hit", *key)
+    out = with_last(expected.withColumns(key), results.withColumns(key), keys, ["text", "error"], order)
+    error = F.when(F.col("__r").isNull(), F.lit("missing_from_shards")).otherwise(F.col("__r.error"))
+    return out.withColumns({"text": F.coalesce("__r.text", F.lit("")), "error": error}).drop("__r", *key)
 
 
 def look_aside(rows: DataFrame, cache: DataFrame, key: str, compute) -> tuple[DataFrame, DataFrame]:

@@ -275,9 +275,11 @@ def merge_scores_in_order(spark, sf_dir):
 @plan(f"""WITH {SEGMENTS} SELECT seg_id, audio_id, CASE WHEN seg_idx % 4 = 0 THEN '' ELSE 't' || seg_idx END AS text, CASE WHEN seg_idx % 4 = 0 THEN 'missing_from_shards' END AS error FROM segments""")
 def merge_asr_shards(spark, sf_dir):
     rows = proxies.segments(spark, sf_dir)
-    some = rows.where("seg_idx % 4 <> 0").select("audio_id", "seg_id", "start_sec", "end_sec", F.concat(F.lit("t"), F.col("seg_idx").cast("string")).alias("text"), F.lit(None).cast("string").alias("error"), F.lit(1).alias("file"), F.col("seg_idx").alias("line"))
-    again = some.where("line % 3 = 0").withColumns({"text": F.lit("older"), "file": F.lit(0)})
-    out = merge.merge_transcripts(rows.select("seg_id", "audio_id", "start_sec", "end_sec"), some.unionByName(again), ["file", "line"], unique=True)
+    result = lambda hit, said, file: F.when(hit, F.struct(said.alias("text"), F.lit(None).cast("string").alias("error"), F.lit(file).alias("file"), F.col("seg_idx").alias("line")))
+    has, again = F.col("seg_idx") % 4 != 0, F.col("seg_idx") % 3 == 0
+    shards = F.array(result(has, F.concat(F.lit("t"), F.col("seg_idx").cast("string")), 1), result(has & again, F.lit("older"), 0))
+    found = rows.select("audio_id", "seg_id", "start_sec", "end_sec", F.explode(shards).alias("s")).where("s IS NOT NULL").select("audio_id", "seg_id", "start_sec", "end_sec", "s.*")
+    out = merge.merge_transcripts(rows.select("seg_id", "audio_id", "start_sec", "end_sec"), found, ["file", "line"])
     return out.select("seg_id", "audio_id", "text", "error")
 
 
